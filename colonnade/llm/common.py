@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,3 +25,13 @@ def durable(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder: later reads survive a lost executor and cut the lineage."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """left join right on ``key``, where left may hold very many rows of one key and right few.
+
+    An input that an aggregation has already dealt by the key would be joined as it lies, and adaptive execution could not
+    split its large partitions. A second key that follows from the first makes Spark deal both sides for this join.
+    """
+    a, b = left.withColumn("_dealt", F.hash(key)), right.withColumn("_dealt", F.hash(key))
+    return a.join(b, [key, "_dealt"], how).drop("_dealt")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, topk
+from . import bpe, mixing, sharding, simhash, topk, warc
 from .common import table
 
 
@@ -17,6 +18,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents encoded by a public vocabulary, and decoded again."""
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents in 16 shards whose row counts are at most one apart."""
     return sharding.bounded_ring(table(spark, sf_dir, "documents"), shards=16)
@@ -28,10 +34,26 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("root")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata and conversion records of every page."""
+    return warc.derive_pages(table(spark, sf_dir, "pages"))
+
+
+#: The vocabulary file that op3 and the pipeline use; a parameter of the operator.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op3_bpe": op3_bpe,
     "op4_sharding": op4_sharding,
     "op5_topk": op5_topk,
+    "op9_simhash": op9_simhash,
+    "op10_warc": op10_warc,
 }
 
 ORACLE: dict[str, str] = {
