@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, sharding, simhash, topk, warc
+from . import bpe, mixing, sharding, simhash, topk, toxicity, warc
 from .common import table
 
 
@@ -34,6 +34,11 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document, learnt from the labels of the training folds."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("root")
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_sharding": op4_sharding,
     "op5_topk": op5_topk,
+    "op6_toxicity": op6_toxicity,
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
 }
