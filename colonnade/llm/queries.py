@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, sharding, simhash, topk, toxicity, warc
+from . import bpe, mixing, repeats, sharding, simhash, topk, toxicity, warc
 from .common import table
 
 
@@ -39,6 +39,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 200-byte strings that also start elsewhere."""
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("root")
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
+    "op8_repeats": op8_repeats,
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
 }
