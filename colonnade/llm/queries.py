@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, repeats, sharding, simhash, topk, toxicity, warc
-from .common import table
+from . import audio, bpe, mixing, repeats, sharding, simhash, topk, toxicity, warc, wrapper
+from .common import durable, table
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"))
 
 
+def op2_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes and matches of the recordings that sonify makes of embeddings; queries are the rows whose id is divisible by 50."""
+    prints = durable(audio.fingerprints(audio.sonify(table(spark, sf_dir, "embeddings"))))
+    return audio.match_recordings(prints, prints.where(F.col("rec_id") % 50 == 0))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents encoded by a public vocabulary, and decoded again."""
     return bpe.encode_digests(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
@@ -39,6 +45,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return wrapper.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 200-byte strings that also start elsewhere."""
     return repeats.digests(table(spark, sf_dir, "documents"))
@@ -59,10 +70,12 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_audio": op2_audio,
     "op3_bpe": op3_bpe,
     "op4_sharding": op4_sharding,
     "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
+    "op7_wrapper": op7_wrapper,
     "op8_repeats": op8_repeats,
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
