@@ -151,7 +151,7 @@ def page_facts(html: str, base: str) -> tuple[str, list[dict], list[dict], str]:
         if kind == "raw":
             if name == "title" and not title:
                 title = markup.squeeze(markup.decode(rest))
-            elif name not in markup.RAW:
+            if name not in markup.RAW:
                 held.append(rest)
             continue
         if name in markup.BLOCK or name in ("br", "title"):
