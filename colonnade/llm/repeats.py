@@ -9,8 +9,9 @@ context is the run's strings put together. Then, all in tables:
 2. What is left - an anchor with several contexts - is sorted. One context of each kind is fetched and dealt by its anchor; a task takes blocks of
    anchors; it leaves out starts whose strings' hashes no other start in the block has, counts equal pieces once, and builds the suffix array
    of the pieces (``suffix.py``): strings repeat where neighbours in it agree on ``length`` bytes.
-3. An anchor with over ``CROWD`` contexts is not gathered in a task: its strings are counted one by one in an aggregate by 128 bits of hash, with
-   partial sums, so a passage in a third of all texts is spread like any other.
+3. An anchor with over ``CROWD`` contexts is not gathered in a task. Its contexts are cut into tiles of a few starts, which are counted by 128
+   bits of hash in an aggregate with partial sums; strings of tiles that occur once are counted one by one against one tile of each kind. So a
+   passage in a third of all texts is spread like any other.
 
 Texts are matched by (doc_id, hash of the text); tables of a step are written to the shared folder.
 
@@ -35,6 +36,8 @@ from .suffix import repeated_starts
 LENGTH, GRAM = 200, 48
 #: Contexts of an anchor that may meet in one task.
 CROWD = 64
+#: Starts of a tile, the unit in which contexts of larger anchors are counted first.
+TILE = 8
 #: Bytes of contexts that are sorted together, at about.
 BLOCK = 200_000
 #: Starts that are hashed together; a longer text is read in segments.
@@ -227,38 +230,45 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     dealt = fetched.where(F.col("d") <= crowd).select("h", "m", "id", "t", "lo", "context").repartition("h").sortWithinPartitions("h", "id", "t", "lo")
     by_sort = dealt.mapInArrow(settle, "id long, t long, a long, b long")
 
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Contexts cut into tiles of TILE starts, counted from the anchor; a tile's hash is that of its strings put together."""
+        one = hashers()[0]
+        low = ~np.uint64((1 << 21) - 1)
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                data = [np.frombuffer(x, np.uint8) for x in batch.column(4).to_pylist()]
-                size = np.array([len(x) - length + 1 for x in data])
-                hashed = [np.concatenate([u.each(u.sums(x), length) for x in data]).view(np.int64) for u in hashers()]
-                index = np.repeat(np.arange(len(data)), size)
-                start = np.arange(len(index)) - np.repeat(np.cumsum(size) - size, size)
-                columns = [*hashed, *(batch.column(i).to_numpy()[index] for i in (0, 1, 2)), batch.column(3).to_numpy()[index] + start]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["w1", "w2", "m", "id", "t", "start"])
-
-    single = fetched.where(F.col("d") > crowd).select("m", "id", "t", "lo", "context").mapInArrow(strings, "w1 long, w2 long, m long, id long, t long, start long")
-    again = single.groupBy("w1", "w2").agg(F.sum("m").alias("k")).where("k > 1").select("w1", F.col("w2").alias("w3"))
-    by_count = skew_join(single.where("m = 1"), again, "w1").where("w2 = w3").select("id", "t", F.col("start").alias("a"), (F.col("start") + length).alias("b"))
-    # Neighbouring starts of the crowd become one range where a run of them is unbroken.
-    by_count = by_count.groupBy("id", "t").agg(F.array_sort(F.collect_set("a")).alias("s")).select("id", "t", F.explode(joined_starts("s", length)).alias("x")).select("id", "t", "x.a", "x.b")
+                parts = []
+                for data in (np.frombuffer(x, np.uint8) for x in batch.column(4).to_pylist()):
+                    count = len(data) - length + 1
+                    anchor = int(np.argmin(one.each(one.sums(data[:length]), gram) & low))
+                    cuts = np.unique(np.concatenate([[0, count], np.arange(anchor % TILE, count, TILE)]))
+                    first, size = cuts[:-1], np.diff(cuts)
+                    sums = [u.sums(data) for u in hashers()]
+                    joint = [u.between(x, first, first + size + (length - 1)) + size.astype(np.uint64) for u, x in zip(hashers(), sums, strict=True)]
+                    parts.append((first, size, *joint, *(u.each(x, length) for u, x in zip(hashers(), sums, strict=True))))
+                first, size, w1, w2, v1, v2 = (np.concatenate(x) for x in zip(*parts, strict=True))
+                index = np.repeat(np.arange(len(parts)), [len(x[0]) for x in parts])
+                ids, hashes, copies, lo = (batch.column(i).to_numpy()[index] for i in (1, 2, 0, 3))
+                ends = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(ends, pa.array(v.view(np.int64))) for v in (v1, v2)]
+                columns = [w1.view(np.int64), w2.view(np.int64), copies, ids, hashes, lo + first, size.astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *lists], names=["w1", "w2", "m", "id", "t", "a", "n", "v1", "v2"])
+
+    # Tiles that occur more than once are covered. Of the others each string is counted, with one tile of every kind.
+    tiled = fetched.where(F.col("d") > crowd).select("m", "id", "t", "lo", "context").mapInArrow(tiles, "w1 long, w2 long, m long, id long, t long, a long, n long, v1 array<long>, v2 array<long>")
+    kind = tiled.groupBy("w1", "w2").agg(F.sum("m").alias("k"), F.min(F.struct("id", "t", "a")).alias("at"), F.first("v1").alias("v1"), F.first("v2").alias("v2"))
+    common = skew_join(tiled.where("m = 1").select("w1", "w2", "id", "t", "a", "n"), kind.where("k > 1").select("w1", F.col("w2").alias("w3")), "w1").where("w2 = w3")
+    by_tile = common.select("id", "t", "a", (F.col("a") + F.col("n") + (length - 1)).alias("b"))
+    single = kind.select(F.least("k", F.lit(2)).alias("k"), "at", F.posexplode(F.arrays_zip("v1", "v2")).alias("i", "v")).select("k", "at.id", "at.t", (F.col("at.a") + F.col("i")).alias("a"), "v.v1", "v.v2")
+    again = single.groupBy("v1", "v2").agg(F.sum("k").alias("k")).where("k > 1").select("v1", F.col("v2").alias("v3"))
+    by_string = skew_join(single.where("k = 1"), again, "v1").where("v2 = v3").select("id", "t", "a", (F.col("a") + length).alias("b"))
+    by_count = by_tile.unionByName(by_string)
 
     sorted_spans = stored(by_sort.unionByName(by_count))
     everything = covered.unionByName(sorted_spans)
     return everything.groupBy("id", "t").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
-def joined_starts(name: str, length: int) -> Column:
-    """Sorted starts as ranges, one for each unbroken run."""
-    return F.expr(
-        f"""transform(filter(sequence(0, size({name}) - 1), i -> i = 0 OR {name}[i] <> {name}[i - 1] + 1),
-        i -> named_struct('a', {name}[i], 'b', {name}[i] + {length} +
-            array_min(filter(transform(sequence(i, size({name}) - 1), j -> if(j = size({name}) - 1 OR {name}[j + 1] <> {name}[j] + 1, {name}[j] - {name}[i], null)), x -> x IS NOT NULL))))"""
-    )
-
-
 def without(text: bytes, spans: np.ndarray) -> tuple[bytes, int, int]:
     """What is left of a text without the union of spans (n, 2), how many bytes went and in how many runs."""
     if not len(spans):
@@ -307,3 +317,16 @@ def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int
         }
 
     return remove_repeats(docs, emit, "n_bytes long, n_removed long, n_spans long, kept_sha256 string", ("doc_id",), length, gram, crowd)
+
+
+def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
+    """Every row with what is left of its text; a character of which a byte went goes whole. n_chars, if there, is counted anew."""
+
+    def emit(_: list[bytes], left: list[tuple[bytes, int, int]]) -> dict[str, pa.Array]:
+        return {"rest": pa.array([k.decode("utf-8", "ignore") for k, _, _ in left], pa.string())}
+
+    keep = tuple(c for c in docs.columns if c != "text")
+    out = remove_repeats(docs, emit, "rest string", keep, length, gram, crowd).withColumnRenamed("rest", "text")
+    if "n_chars" in keep:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(docs.columns)
