@@ -57,7 +57,7 @@ def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint and near-duplicate component of every document."""
-    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("root")
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

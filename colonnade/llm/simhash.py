@@ -52,15 +52,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id and fp (signed 64-bit) of every row."""
+    """doc_id, t (hash of id and text) and fp (signed 64-bit) of every row."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t, shingle, seed) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            fps = [fingerprint(t, shingle, seed) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], names=["doc_id", "t", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    return rows.mapInArrow(scan, "doc_id long, fp long")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", text).alias("t"), text.cast("binary").alias("body"))
+    return rows.mapInArrow(scan, "doc_id long, t long, fp long")
 
 
 def variants(fp, segments: int):
@@ -96,13 +97,25 @@ def links(fps: DataFrame, bits: int = BITS, bucket: int = BUCKET) -> DataFrame:
     return pairs.unionByName(more).distinct()
 
 
-def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of the component) of every row, and root, a key of the component that is never null."""
+def grouped(docs: DataFrame, bits: int, shingle: int, seed: int, bucket: int) -> DataFrame:
+    """doc_id, t, fp, component_id and root - a key of the component that is never null - of every row."""
     rows = durable(fingerprints(docs, shingle, seed))
     nodes = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(nodes.select("fp"), bits, bucket))
     tied = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = tied.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = skew_join(tied.select("fp", "root"), smallest, "root")
-    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return skew_join(rows, named, "fp").select("doc_id", hexed, "component_id", "root")
+    return skew_join(rows, skew_join(tied.select("fp", "root"), smallest, "root"), "fp")
+
+
+def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id of the component) of every row."""
+    return grouped(docs, bits, shingle, seed, bucket).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
+    """One row of each component, with all its columns: the one with the smallest doc_id, rows without an id last; of rows with
+    equal id the one whose text hashes lowest, and any one of equal rows."""
+    chosen = grouped(docs, bits, shingle, seed, bucket).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t")).alias("x"))
+    chosen = chosen.select(F.coalesce("x.doc_id", F.lit(0)).alias("_id"), F.col("x.t").alias("_t"))
+    marked = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0))).withColumn("_t", F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))))
+    return marked.join(chosen, ["_id", "_t"], "left_semi").dropDuplicates(["_id", "_t"]).drop("_id", "_t")

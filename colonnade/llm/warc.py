@@ -125,9 +125,10 @@ def charset(headers: Headers, payload: bytes) -> str:
     for told in (find(headers, "Content-Type"), payload[:1024].decode("latin-1")):
         if named := re.search(r"charset\s*=\s*[\"']?([\w.:-]+)", told, re.I):
             try:
-                return "utf-8" if "".encode(named[1]) else named[1]
+                "".encode(named[1])
             except LookupError:
                 continue
+            return named[1]
     return "utf-8"
 
 
