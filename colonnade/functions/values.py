@@ -233,15 +233,6 @@ def pairs_map(pairs: Column | str, key: str = "key") -> Column:
     return F.map_from_entries(last)
 
 
-def dictionary_codes(value: Column | str) -> Column:
-    """Codes of values in their order, from 0, over the whole table; nulls have none. One window over the distinct values is cheaper: see
-    ``plans.dictionary``."""
-    from pyspark.sql import Window
-
-    value = _col(value)
-    return F.when(value.isNotNull(), F.dense_rank().over(Window.orderBy(value.asc_nulls_last())) - 1)
-
-
 def key_width(distinct: Column | str) -> Column:
     """Bytes of a dictionary key for so many values."""
     n = _col(distinct)

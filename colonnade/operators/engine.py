@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 
 from .. import types
 from ..errors import QueryError, SchemaMismatchError, SettingError
+from ..functions import sqlcompat
 from ..sources.block import Block
 from ..sources.columns import decode, encode
-from ..sources.native_block import column as column_values
 from ..sources.wire import Reader, Writer
 
 MIN_SPARK = (4, 0)
@@ -43,6 +43,8 @@ class EngineOptions:
     app: str = "colonnade"
     database: str = "default"
     block_rows: int = BLOCK_ROWS
+    #: ``surface``: query text is rewritten by functions.sqlcompat first; ``spark``: it is Spark SQL as it stands.
+    dialect: str = "surface"
     config: dict[str, str] = field(default_factory=dict)
 
 
@@ -152,9 +154,14 @@ def _ipc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["ipc"])
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """Columns named by position, as a result may have several of one name."""
+    return df.toDF(*(f"_{i}" for i in range(len(df.columns))))
+
+
 def arrow_batches(df: DataFrame) -> Iterator[pa.RecordBatch]:
     """The non-empty Arrow batches of a result, in partition order; the driver holds a partition at a time."""
-    for row in df.mapInArrow(_ipc, "ipc binary").toLocalIterator(prefetchPartitions=True):
+    for row in numbered(df).mapInArrow(_ipc, "ipc binary").toLocalIterator(prefetchPartitions=True):
         with pa.ipc.open_stream(bytes(row["ipc"])) as stream:
             for batch in stream:
                 if batch.num_rows:
@@ -166,6 +173,7 @@ class Engine:
 
     def __init__(self, spark: SparkSession, options: EngineOptions | None = None):
         self.spark, self.options = spark, options or EngineOptions()
+        sqlcompat.register(spark)
 
     @classmethod
     def connect(cls, options: EngineOptions | None = None) -> Engine:
@@ -245,15 +253,24 @@ class Engine:
         """Stops the jobs of a query that runs in another thread."""
         self.spark.interruptTag(query_id)
 
+    def _text(self, body: str) -> str:
+        return body if self.options.dialect == "spark" else sqlcompat.translate(body)
+
+    def _settings(self, body: str, settings: Sequence[Setting]) -> list[Setting]:
+        """The settings of a query and of its SETTINGS clause."""
+        own = {} if self.options.dialect == "spark" else sqlcompat.settings_of(body)[1]
+        return [*settings, *(Setting(k, v) for k, v in own.items())]
+
     def frame(self, query: SelectQuery) -> DataFrame:
         """A query as a DataFrame, its columns checked; nothing runs yet."""
-        df = self.spark.sql(query.body, query.args) if query.args else self.spark.sql(query.body)
+        body = self._text(query.body)
+        df = self.spark.sql(body, query.args) if query.args else self.spark.sql(body)
         check_schema(df.schema, query.results)
         return df
 
     def blocks(self, query: SelectQuery) -> Iterator[Block]:
         """The non-empty blocks of a result. A null in a column that was declared without nulls is an error."""
-        with self._query(query.query_id, query.settings):
+        with self._query(query.query_id, self._settings(query.body, query.settings)):
             df = self.frame(query)
             nodes = check_schema(df.schema, query.results)
             names = df.schema.names
@@ -293,8 +310,8 @@ class Engine:
 
     def execute(self, body: str, settings: Sequence[Setting] = (), query_id: str = "") -> None:
         """Runs a statement without a result, such as CREATE or DROP."""
-        with self._query(query_id, settings):
-            self.spark.sql(body).collect()
+        with self._query(query_id, self._settings(body, settings)):
+            self.spark.sql(self._text(body)).collect()
 
     def insert(self, query: InsertQuery) -> int:
         """Appends the columns' values as blocks, each committed on its own, and returns the number of rows.
@@ -351,4 +368,4 @@ def parse_insert(body: str) -> tuple[str, list[str]]:
     return found["table"], columns
 
 
-__all__ = ["BLOCK_ROWS", "Engine", "EngineOptions", "InputColumn", "InsertQuery", "ResultColumn", "SelectQuery", "ServerInfo", "Setting", "arrow_batches", "check_schema", "column_values", "parse_host_port", "parse_insert"]
+__all__ = ["BLOCK_ROWS", "Engine", "EngineOptions", "InputColumn", "InsertQuery", "ResultColumn", "SelectQuery", "ServerInfo", "Setting", "arrow_batches", "check_schema", "numbered", "parse_host_port", "parse_insert"]

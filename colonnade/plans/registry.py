@@ -2,16 +2,373 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-FLAGSHIP = "numbers_sum"
+from .. import types
+from ..functions import values as V
+from ..functions.cityhash import cityhash128_col
+from ..operators import drain, retry
+from ..operators.engine import Engine, EngineOptions, InputColumn, InsertQuery, ResultColumn, SelectQuery
+from ..sources.block import decode_block, encode_block
+from ..sources.wire import Reader
+from ..streaming import stream
 
+FLAGSHIP = "mixed_types"
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings")
 
+
+def query(sql: str | None):
+    """Registers a query under its function's name, with its SQL for comparison."""
+
+    def register(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return register
+
+
+def plain(name: str, text: str, oracle: str | None = None) -> None:
+    """Registers a query that is SQL; tables stand in braces. Without other text the SQL is the same on both sides."""
+    used = [t for t in TABLES if f"{{{t}}}" in text]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.sql(text, **{t: read(spark, sf_dir, t) for t in used})
+
+    QUERIES[name] = run
+    ORACLE[name] = oracle or text.format(**{t: t for t in used})
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def engine_of(spark: SparkSession) -> Engine:
+    return Engine(spark, EngineOptions(dialect="spark"))
+
+
+def one_row(spark: SparkSession, columns: dict[str, tuple[str, object]]) -> DataFrame:
+    return spark.createDataFrame([tuple(v for _, v in columns.values())], ", ".join(f"{k} {t}" for k, (t, _) in columns.items()))
+
+
+# -- the engine: checked selects, typed results, inserts ---------------------------------------------------------------
+
+
+@query("SELECT count(*) AS n, CAST(sum(range) AS BIGINT) AS s FROM range(100000)")
 def numbers_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql("SELECT count(*) AS n, CAST(sum(id) AS BIGINT) AS s FROM range(100000)")
+    return engine_of(spark).frame(SelectQuery("SELECT count(*) AS n, sum(id) AS s FROM range(100000)", [ResultColumn("Int64", "n"), ResultColumn("Int64", "s")]))
+
+
+MIXED = {
+    "n32": "Int32", "s": "String", "lc": "LowCardinality(String)", "nu": "Nullable(Int32)", "ar": "Array(Int32)", "mp": "Map(String, String)",
+    "tp": "Tuple(String, Int32)", "dec": "Decimal(9, 2)", "en": "Enum8('off' = 0, 'on' = 1, 'dim' = 2)", "pt": "Point", "iv": "IntervalDay", "js": "JSON", "bf": "BFloat16", "lcfs": "LowCardinality(FixedString(8))",
+}
+
+
+def mixed_columns(n) -> list:
+    """Fourteen typed columns made from a number column."""
+    n32 = n.cast("int")
+    made = {
+        "n32": n32,
+        "s": n.cast("string"),
+        "lc": F.concat(F.lit("k"), (n % 3).cast("string")),
+        "nu": F.when(n % 2 == 1, n32),
+        "ar": F.transform(V.zero_to(n % 4), lambda x: x.cast("int")),
+        "mp": F.create_map(F.lit("k"), n.cast("string"), F.lit("t"), (n * 10).cast("string")),
+        "tp": F.struct(F.concat(F.lit("t"), n.cast("string")).alias("_1"), n32.alias("_2")),
+        "dec": V.to_decimal(n.cast("decimal(18,4)") + F.lit("0.1299").cast("decimal(18,4)"), 9, 2),
+        "en": V.enum_name(n % 3, MIXED["en"]),
+        "pt": V.point(n.cast("double"), -n.cast("double")),
+        "iv": V.interval(n % 100, "IntervalDay"),
+        "js": F.concat(F.lit('{"a": '), n.cast("string"), F.lit("}")),
+        "bf": V.to_bfloat16(n % 1000),
+        "lcfs": V.fixed_string(F.concat(F.lit("v"), (n % 2).cast("string")), 8),
+    }
+    return [V.typed(c, name, MIXED[name]) for name, c in made.items()]
+
+
+@query("""SELECT CAST(event_id AS INTEGER) AS n32, CAST(event_id AS VARCHAR) AS s, 'k' || (event_id % 3) AS lc, CASE WHEN event_id % 2 = 1 THEN CAST(event_id AS INTEGER) ELSE -1 END AS nu,
+ CAST(len(range(event_id % 4)) AS INTEGER) AS ar_size, CAST(coalesce(list_sum(range(event_id % 4)), 0) AS BIGINT) AS ar_sum, CAST(event_id * 10 AS VARCHAR) AS mp_t, 't' || event_id AS tp_1, CAST(event_id AS INTEGER) AS tp_2,
+ CAST(CAST(event_id + 0.12 AS DECIMAL(9, 2)) AS DOUBLE) AS "dec", CASE event_id % 3 WHEN 0 THEN 'off' WHEN 1 THEN 'on' ELSE 'dim' END AS en, CAST(event_id AS DOUBLE) AS pt_x, -CAST(event_id AS DOUBLE) AS pt_y,
+ event_id % 100 AS iv_days, CAST(event_id AS VARCHAR) AS js_a, hex(encode('v' || (event_id % 2))) || '000000000000' AS lcfs FROM events""")
+def mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fourteen column types of one table, checked as an engine result, then taken apart into plain columns."""
+    made = read(spark, sf_dir, "events").select(*mixed_columns(F.col("event_id")))
+    from ..operators.engine import check_schema
+
+    check_schema(made.schema, [ResultColumn(t, n) for n, t in MIXED.items()])
+    return made.select(
+        "n32", "s", "lc", F.coalesce("nu", F.lit(-1)).alias("nu"), F.size("ar").alias("ar_size"), F.aggregate("ar", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("ar_sum"), F.element_at("mp", "t").alias("mp_t"),
+        F.col("tp._1").alias("tp_1"), F.col("tp._2").alias("tp_2"), F.col("dec").cast("double").alias("dec"), "en", F.col("pt.x").alias("pt_x"), F.col("pt.y").alias("pt_y"),
+        F.extract(F.lit("DAY"), F.col("iv")).cast("bigint").alias("iv_days"), F.get_json_object("js", "$.a").alias("js_a"), F.hex("lcfs").alias("lcfs"),
+    )
+
+
+@query("""SELECT CAST(200 AS BIGINT) AS n, CAST(sum(range) AS BIGINT) AS ids, CAST(count(*) FILTER (WHERE range % 2 = 0) AS BIGINT) AS evens, CAST(sum(range * 2 + 0.5) AS DOUBLE) AS score FROM range(200)""")
+def insert_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two blocks inserted into a managed table, read back and dropped."""
+    engine, table = engine_of(spark), f"inserted_{uuid.uuid4().hex}"
+    engine.execute(f"CREATE TABLE {table} (id INT, name STRING, score DOUBLE) USING parquet")
+    try:
+        columns = [InputColumn("id", "Int32"), InputColumn("name", "String"), InputColumn("score", "Float64")]
+
+        def fill(start: int) -> None:
+            columns[0].values = list(range(start, start + 100))
+            columns[1].values = ["even" if i % 2 == 0 else "odd" for i in columns[0].values]
+            columns[2].values = [i * 2 + 0.5 for i in columns[0].values]
+
+        def more() -> bool:
+            if columns[0].values[0]:
+                return False
+            fill(100)
+            return True
+
+        fill(0)
+        engine.insert(InsertQuery(f"INSERT INTO {table} VALUES", columns, more))
+        row = spark.sql(f"SELECT count(*), sum(id), count_if(name = 'even'), sum(score) FROM {table}").first()
+    finally:
+        engine.execute(f"DROP TABLE IF EXISTS {table}")
+    return one_row(spark, dict(zip(("n", "ids", "evens", "score"), zip(("long", "long", "long", "double"), row, strict=True), strict=True)))
+
+
+@query("""SELECT CAST(number AS INTEGER) AS a, CAST(number // 3 * 3 AS BIGINT) AS b, 'x' || number AS c, CASE WHEN number % 2 = 0 THEN -1 ELSE number END AS d, CAST(CAST(trunc(number * 1.239 * 100) / 100 AS DECIMAL(9, 2)) AS DOUBLE) AS e,
+ CASE number % 2 WHEN 0 THEN 'off' ELSE 'on' END AS f, CAST(coalesce(list_sum(range(number % 5)), 0) AS BIGINT) AS g FROM (SELECT range AS number FROM range(500))""")
+def surface_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query surface's own spellings, translated."""
+    text = """SELECT toInt32(number) AS a, intDiv(number, 3) * 3 AS b, concat('x', toString(number)) AS c, ifNull(if(number % 2 = 0, NULL, number), toInt64(-1)) AS d,
+    toDecimal32(number * 1.239, 2) AS e, CAST(number % 2 AS Enum8('off' = 0, 'on' = 1)) AS f, aggregate(arrayMap(x -> toInt64(x), range(number % 5)), toInt64(0), (s, x) -> s + x) AS g FROM numbers(500) SETTINGS max_block_size = 65536"""
+    made = Engine(spark).frame(SelectQuery(text, [ResultColumn("Int32", "a"), ResultColumn("Int64", "b"), ResultColumn("String"), ResultColumn("Int64"), ResultColumn("Decimal(9, 2)"), ResultColumn("String"), ResultColumn("Int64")]))
+    return made.withColumn("e", F.col("e").cast("double"))
+
+
+# -- streams, drains, retries ------------------------------------------------------------------------------------------
+
+#: Each shape's columns from lineitem, and what its fold sums: all columns, with arrays by their elements and nulls left out.
+_SHAPE_COLUMNS = {"Int64": "l_orderkey", "UInt64": "CAST(l_orderkey AS DECIMAL(20,0))", "Float64": "l_quantity", "Int32": "l_linenumber", "UInt8": "CAST(l_linenumber AS SMALLINT)", "Nullable(Float64)": "IF(l_quantity > 25, l_quantity, NULL)", "Array(Float64)": "array(l_quantity, CAST(l_linenumber AS DOUBLE))"}
+_SHAPE_SUMS = {"Int64": "l_orderkey", "UInt64": "l_orderkey", "Float64": "l_quantity", "Int32": "l_linenumber", "UInt8": "l_linenumber", "Nullable(Float64)": "CASE WHEN l_quantity > 25 THEN l_quantity ELSE 0 END", "Array(Float64)": "l_quantity + l_linenumber"}
+
+
+def _shape_sum(held: tuple[int, float], *arrays) -> tuple[int, float]:
+    total = sum(float(np.nansum(a)) if isinstance(a, np.ndarray) else float(sum(x.sum() for x in a)) for a in arrays)
+    return held[0] + len(arrays[0]), held[1] + total
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS shape, count(*) AS n, CAST(round(sum({' + '.join(_SHAPE_SUMS[t] for t in kinds)}), 2) AS DOUBLE) AS total FROM lineitem" for name, kinds in stream.SHAPES.items()))
+def stream_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every named shape folded on the executors: rows, and the sum of all values."""
+    read(spark, sf_dir, "lineitem").createOrReplaceTempView("stream_lineitem")
+    engine, out = engine_of(spark), []
+    for name, kinds in stream.SHAPES.items():
+        text = "SELECT " + ", ".join(f"{_SHAPE_COLUMNS[t]} AS c{i}" for i, t in enumerate(kinds)) + " FROM stream_lineitem"
+        n, total = stream.fold(engine, text, kinds, (0, 0.0), _shape_sum, lambda a, b: (a[0] + b[0], a[1] + b[1]))
+        out.append((name, n, round(total, 2)))
+    return spark.createDataFrame(out, "shape string, n long, total double")
+
+
+@query("SELECT count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys, CAST(round(sum(l_quantity), 2) AS DOUBLE) AS quantity FROM lineitem WHERE l_quantity > 45")
+def retried_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that fails once before its first row and is run again."""
+    read(spark, sf_dir, "lineitem").createOrReplaceTempView("retry_lineitem")
+    failures, held = [ConnectionError("lost")], [0, 0, 0.0]
+
+    def connect(_: EngineOptions) -> Engine:
+        if failures:
+            raise failures.pop()
+        return engine_of(spark)
+
+    def add(key: int, quantity: float) -> None:
+        held[0], held[1], held[2] = held[0] + 1, held[1] + key, held[2] + quantity
+
+    retry.rows_i64f64(EngineOptions(), retry.RetryPolicy(base_backoff_ms=1), "SELECT l_orderkey, l_quantity FROM retry_lineitem WHERE l_quantity > 45", add, connect=connect)
+    return one_row(spark, {"n": ("long", held[0]), "keys": ("long", held[1]), "quantity": ("double", round(held[2], 2))})
+
+
+@query("SELECT count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS customers, CAST(round(max(o_totalprice), 2) AS DOUBLE) AS most FROM orders WHERE o_orderstatus = 'F'")
+def counted_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns drained into arrays of exactly the counted size."""
+    read(spark, sf_dir, "orders").createOrReplaceTempView("drain_orders")
+    keys, prices = drain.count_then_drain(engine_of(spark), "SELECT o_custkey, o_totalprice FROM drain_orders WHERE o_orderstatus = 'F'", ["int64", "float64"])
+    return one_row(spark, {"n": ("long", len(keys)), "customers": ("long", int(keys.sum())), "most": ("double", round(float(prices.max()), 2) if len(prices) else None)})
+
+
+@query("SELECT event_id, user_id, event_type, CAST(round(value, 6) AS DOUBLE) AS value, CAST(epoch_us(ts) // 1000 AS BIGINT) AS ticks FROM events")
+def block_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events encoded as blocks and decoded again, on the executors."""
+    kinds = {"event_id": "Int64", "user_id": "UInt64", "event_type": "LowCardinality(String)", "value": "Nullable(Float64)", "ticks": "Int64"}
+    nodes = [types.parse(k) for k in kinds.values()]
+
+    def through(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            data = encode_block(list(kinds), nodes, [c.to_pylist() for c in batch.columns])
+            block = decode_block(Reader(data))
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(block.values, batch.schema, strict=True)], schema=batch.schema)
+
+    events = read(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.round("value", 6).alias("value"), V.datetime64_ticks("ts", 3).alias("ticks"))
+    return events.mapInArrow(through, events.schema)
+
+
+# -- value semantics ---------------------------------------------------------------------------------------------------
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(trunc(CAST(l_extendedprice AS DECIMAL(18, 4)) * 100) AS BIGINT) AS mantissa, CAST(trunc(CAST(l_extendedprice AS DECIMAL(18, 4)) * 10) / 10 AS DOUBLE) AS cut FROM lineitem")
+def decimal_trunc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price = F.col("l_extendedprice").cast("decimal(18,4)")
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", V.decimal_mantissa(price, 2).alias("mantissa"), V.to_decimal(price, 15, 1).cast("double").alias("cut"))
+
+
+@query("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 WHEN 'P' THEN 2 END AS code, o_orderstatus AS name FROM orders")
+def enum_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = types.enum_string("Enum8", {"F": 0, "O": 1, "P": 2})
+    return read(spark, sf_dir, "orders").select("o_orderkey", V.enum_value("o_orderstatus", kind).alias("code"), V.enum_name(V.enum_value("o_orderstatus", kind), kind).alias("name"))
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate::DATE - DATE '1970-01-01' AS INTEGER) AS days, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders")
+def date_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").select("o_orderkey", V.date_days("o_orderdate").alias("days"), V.date_of(V.date_days("o_orderdate")).cast("string").alias("day"))
+
+
+@query("SELECT event_id, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS seconds, CAST(epoch_us(ts) // 1000 AS BIGINT) AS millis, CAST(epoch_us(ts) * 1000 AS BIGINT) AS nanos FROM events")
+def datetime_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "events").select("event_id", V.datetime_seconds("ts").alias("seconds"), V.datetime64_ticks("ts", 3).alias("millis"), V.datetime64_ticks("ts", 9).alias("nanos"))
+
+
+@query("SELECT o_orderkey, o_orderdate + to_days(CAST(o_orderkey % 7 AS INTEGER)) AS later, o_orderdate + to_days(CAST(o_orderkey % 3 * 7 AS INTEGER)) AS weeks, o_orderdate + to_months(CAST(o_orderkey % 5 * 3 AS INTEGER)) AS quarters FROM orders")
+def interval_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, date = F.col("o_orderkey"), F.col("o_orderdate")
+    return read(spark, sf_dir, "orders").select("o_orderkey", (date + V.interval(key % 7, "IntervalDay")).alias("later"), (date + V.interval(key % 3, "IntervalWeek")).alias("weeks"), (date + V.interval(key % 5, "IntervalQuarter")).alias("quarters"))
+
+
+@query("SELECT user_id, n, concat_ws('.', n & 255, (n >> 8) & 255, (n >> 16) & 255, (n >> 24) & 255) AS address, n AS back FROM (SELECT DISTINCT user_id, (user_id * 2654435) % 4294967296 AS n FROM events)")
+def ipv4_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    users = read(spark, sf_dir, "events").select("user_id", ((F.col("user_id") * 2654435) % 4294967296).alias("n")).distinct()
+    return users.select("user_id", "n", V.ipv4_text("n").alias("address"), V.ipv4_number(V.ipv4_text("n")).alias("back"))
+
+
+@query("""SELECT c_custkey, h AS plain, upper(substr(h, 15, 2) || substr(h, 13, 2) || substr(h, 11, 2) || substr(h, 9, 2) || substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2)
+ || substr(h, 31, 2) || substr(h, 29, 2) || substr(h, 27, 2) || substr(h, 25, 2) || substr(h, 23, 2) || substr(h, 21, 2) || substr(h, 19, 2) || substr(h, 17, 2)) AS wire FROM (SELECT c_custkey, md5(c_name) AS h FROM customer)""")
+def uuid_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.md5(F.col("c_name").cast("binary"))
+    parts = F.concat_ws("-", *(F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+    rows = read(spark, sf_dir, "customer").select("c_custkey", parts.alias("id"))
+    return rows.select("c_custkey", F.replace(V.uuid_text(V.uuid_wire("id")), F.lit("-"), F.lit("")).alias("plain"), F.hex(V.uuid_wire("id")).alias("wire"))
+
+
+@query("SELECT p_partkey, hex(encode(substr(p_brand, 1, 8))) || repeat('00', 8 - strlen(substr(p_brand, 1, 8))) AS fixed FROM part")
+def fixed_string(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "part").select("p_partkey", F.hex(V.fixed_string(F.substring("p_brand", 1, 8), 8)).alias("fixed"))
+
+
+@query(None)
+def bf16_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounded values lie within half a unit in the last of 8 places; tests compare bits."""
+    return read(spark, sf_dir, "events").select("event_id", V.bf16_bits(F.col("value").cast("float")).alias("bits"), V.to_bfloat16("value").alias("rounded"))
+
+
+@query(None)
+def cityhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "part").select("p_partkey", F.hex(cityhash128_col(F.col("p_name").cast("binary"))).alias("hash"))
+
+
+@query("SELECT event_id, CASE WHEN value > 50 THEN value ELSE 'NaN'::DOUBLE END AS value FROM events")
+def rows_f64n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "events").select("event_id", V.or_nan(F.when(F.col("value") > 50, F.col("value"))).alias("value"))
+
+
+@query("SELECT l_orderkey % 10 AS bucket, CAST(CAST(sum(CAST(9223372036854775807 AS DECIMAL(20, 0)) + l_orderkey) AS DECIMAL(30, 0)) AS VARCHAR) AS total FROM lineitem GROUP BY 1")
+def unsigned_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of unsigned 64-bit values beyond the signed range."""
+    wide = F.lit(9223372036854775807).cast("decimal(20,0)") + F.col("l_orderkey")
+    return read(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % 10).alias("bucket")).agg(V.wide_sum(wide).cast("decimal(30,0)").cast("string").alias("total"))
+
+
+# -- composites --------------------------------------------------------------------------------------------------------
+
+plain(
+    "array_range",
+    "SELECT c_custkey, array_join(IF(c_custkey % 6 > 0, transform(sequence(0L, c_custkey % 6 - 1), x -> CAST(x * 2 AS INT)), CAST(array() AS ARRAY<INT>)), ',') AS items FROM {customer}",
+    "SELECT c_custkey, array_to_string(list_transform(range(c_custkey % 6), lambda x: x * 2), ',') AS items FROM customer",
+)
+plain("array_element", "SELECT vec_id, element_at(embedding, 1) AS first, size(embedding) AS n FROM {embeddings}", "SELECT vec_id, embedding[1] AS first, CAST(len(embedding) AS INTEGER) AS n FROM embeddings")
+plain(
+    "map_pairs",
+    "SELECT c_custkey, e.key, e.value FROM (SELECT c_custkey, explode(map_entries(map('name', c_name, 'segment', c_mktsegment))) AS e FROM {customer})",
+    "SELECT c_custkey, e.key AS key, e.value AS value FROM (SELECT c_custkey, unnest(map_entries(MAP {'name': c_name, 'segment': c_mktsegment})) AS e FROM customer)",
+)
+plain("tuple_field", "SELECT t.c_name AS name, t.c_custkey AS key FROM (SELECT struct(c_name, c_custkey) AS t FROM {customer})", "SELECT c_name AS name, c_custkey AS key FROM customer")
+plain("json_field", "SELECT event_id, get_json_object(props, '$.k') AS k FROM {events}", "SELECT event_id, props->>'$.k' AS k FROM events")
+
+
+@query("SELECT event_type, count(*) AS n, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS INTEGER) AS code, 1 AS width FROM events GROUP BY event_type")
+def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dictionary codes and key width: the window runs over the distinct values only."""
+    words = read(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"))
+    size = words.agg(F.count("*").alias("size"))
+    coded = words.withColumn("code", F.dense_rank().over(Window.orderBy("event_type")) - 1)
+    return coded.join(F.broadcast(size)).select("event_type", "n", "code", V.key_width("size").alias("width"))
+
+
+# -- aggregates, order, totals -----------------------------------------------------------------------------------------
+
+plain(
+    "hourly_fold",
+    "SELECT unix_micros(CAST(ts AS TIMESTAMP)) div 3600000000 * 3600000 AS bucket, count(*) AS n, CAST(round(sum(value), 4) AS DOUBLE) AS total FROM {events} GROUP BY 1",
+    "SELECT CAST(epoch_us(ts) // 3600000000 * 3600000 AS BIGINT) AS bucket, count(*) AS n, CAST(round(sum(value), 4) AS DOUBLE) AS total FROM events GROUP BY 1",
+)
+plain("seven_doubles", "SELECT l_orderkey, l_quantity, l_extendedprice, l_discount, l_tax, l_quantity * l_tax AS a, l_discount + l_tax AS b, l_extendedprice - l_discount AS c FROM {lineitem}")
+plain(
+    "totals",
+    "SELECT l_returnflag, grouping(l_returnflag) AS is_total, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines FROM {lineitem} GROUP BY GROUPING SETS ((l_returnflag), ())",
+    "SELECT l_returnflag, CAST(grouping(l_returnflag) AS TINYINT) AS is_total, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines FROM lineitem GROUP BY GROUPING SETS ((l_returnflag), ())",
+)
+plain("extremes", "SELECT min(l_quantity) AS q0, max(l_quantity) AS q1, min(l_orderkey) AS k0, max(l_orderkey) AS k1, min(l_shipdate) AS d0, max(l_shipdate) AS d1 FROM {lineitem}")
+plain("top_prices", "SELECT o_orderkey, o_totalprice FROM {orders} ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 10")
+plain("filtered_count", "SELECT count(*) AS n FROM {lineitem} WHERE l_quantity > 25 AND l_returnflag = 'R'")
+plain("customer_sums", "SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total, count(*) AS n FROM {orders} GROUP BY o_custkey")
+plain(
+    "pricing_summary",
+    """SELECT l_returnflag, l_linestatus, CAST(round(sum(l_quantity), 2) AS DOUBLE) AS quantity, CAST(round(sum(l_extendedprice * (1 - l_discount)), 2) AS DOUBLE) AS revenue,
+    CAST(round(avg(l_discount), 6) AS DOUBLE) AS discount, count(*) AS n FROM {lineitem} WHERE l_shipdate <= TIMESTAMP '1998-09-02 00:00:00' GROUP BY l_returnflag, l_linestatus""",
+)
+
+# -- what SQL text can ask for beyond --------------------------------------------------------------------------------------
+
+plain(
+    "region_revenue",
+    """SELECT r_name, CAST(round(sum(l_extendedprice * (1 - l_discount)), 2) AS DOUBLE) AS revenue FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey
+    JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey GROUP BY r_name""",
+)
+plain("customers_without_orders", "SELECT c_custkey, c_name FROM {customer} WHERE NOT EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = c_custkey)")
+plain("customers_with_large_orders", "SELECT c_custkey FROM {customer} WHERE c_custkey IN (SELECT o_custkey FROM {orders} WHERE o_totalprice > 200000)")
+plain(
+    "order_ranks",
+    """SELECT o_orderkey, CAST(row_number() OVER w AS INTEGER) AS place, CAST(count(*) OVER (PARTITION BY o_custkey) AS BIGINT) AS n, coalesce(lag(o_orderkey) OVER w, -1) AS before FROM {orders}
+    WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""",
+)
+plain("segments_cube", "SELECT coalesce(c_mktsegment, 'all') AS segment, coalesce(c_nationkey, -1) AS nation, count(*) AS n FROM {customer} GROUP BY CUBE (c_mktsegment, c_nationkey)")
+plain("keys_in_both", "SELECT l_partkey AS k FROM {lineitem} INTERSECT SELECT p_partkey FROM {part} WHERE p_size > 10")
+plain("keys_in_one", "SELECT p_partkey AS k FROM {part} EXCEPT SELECT l_partkey FROM {lineitem} WHERE l_quantity > 40")
+plain(
+    "promoted_share",
+    "WITH p AS (SELECT p_partkey, p_type LIKE '%BRASS%' AS brass FROM {part}) SELECT brass, count(*) AS n, CAST(round(sum(l_extendedprice), 2) AS DOUBLE) AS price FROM {lineitem} JOIN p ON l_partkey = p_partkey GROUP BY brass",
+)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"numbers_sum": numbers_sum}
-ORACLE: dict[str, str] = {"numbers_sum": "SELECT count(*) AS n, CAST(sum(range) AS BIGINT) AS s FROM range(100000)"}
+@query("""SELECT e.event_id, coalesce(p.event_id, -1) AS purchase FROM (SELECT * FROM events WHERE event_type <> 'purchase') e ASOF LEFT JOIN
+ (SELECT user_id, ts, max(event_id) AS event_id FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts) p ON e.user_id = p.user_id AND e.ts >= p.ts""")
+def last_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every event the user's last purchase at or before it: one shuffle by user, no range join."""
+    events = read(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    bought = F.col("event_type") == "purchase"
+    upto = Window.partitionBy("user_id").orderBy("ts", F.when(bought, 0).otherwise(1), "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return events.withColumn("purchase", F.last(F.when(bought, F.col("event_id")), ignorenulls=True).over(upto)).where(~bought).select("event_id", F.coalesce("purchase", F.lit(-1)).alias("purchase"))

@@ -19,9 +19,10 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -31,6 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .. import types
 from ..errors import CodecError
 from .block import Block, decode_block, empty_block, encode_block, read_blocks
+from .columns import NUMBERS
 from .frames import METHODS, decode_frame, encode_frame
 from .wire import Reader
 
@@ -55,7 +57,8 @@ def to_batch(block: Block, schema: pa.Schema) -> pa.RecordBatch:
     at = {name: i for i, name in enumerate(block.names)}
     if missing := [f.name for f in schema if f.name not in at]:
         raise CodecError(f"the block has no columns {missing}")
-    return pa.RecordBatch.from_arrays([pa.array(block.values[at[f.name]], f.type) for f in schema], schema=schema)
+    values = [(f, block.values[at[f.name]]) for f in schema]
+    return pa.RecordBatch.from_arrays([pa.array(v.tolist() if pa.types.is_decimal(f.type) and isinstance(v, np.ndarray) else v, f.type) for f, v in values], schema=schema)
 
 
 def compression_of(path: str) -> str:
@@ -91,7 +94,7 @@ class BlockReader(DataSourceReader):
         return [FilePartition(p) for p in files(self.options["path"])]
 
     def read(self, partition: FilePartition) -> Iterator[pa.RecordBatch]:
-        schema = to_arrow_schema(self.schema, timezone="UTC")
+        schema = to_arrow_schema(self.schema)
         with open(partition.path, "rb") as file:
             data = file.read()
         for block in read_blocks(data, compression_of(partition.path) != "none", self.schema.names):
@@ -162,17 +165,13 @@ class BlockWriter(DataSourceArrowWriter):
                 os.remove(m.path)
 
 
-def column(values: pa.Array, kind: types.TypeNode) -> list:
-    """A column's values as the codec takes them; nulls of a type that has none become its default."""
-    from .columns import NUMBERS, default
-
-    if kind.name in NUMBERS and not values.null_count and pa.types.is_primitive(values.type) and not pa.types.is_decimal(values.type):
-        return values.to_numpy(zero_copy_only=False)
-    out = values.to_pylist()
+def column(values: pa.Array, kind: types.TypeNode) -> Sequence:
+    """A column's values as the codec takes them. A null in a type that has none is an error, not a silent default."""
     if values.null_count and not kind.nullable:
-        filler = default(kind)
-        out = [filler if v is None else v for v in out]
-    return out
+        raise CodecError(f"a null in a column of {kind}; declare Nullable({kind})")
+    if kind.name in NUMBERS and pa.types.is_primitive(values.type):
+        return values.to_numpy(zero_copy_only=False)
+    return values.to_pylist()
 
 
 class NativeBlockSource(DataSource):
@@ -197,13 +196,13 @@ class NativeBlockSource(DataSource):
 def read_blocks_anywhere(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
     """The named columns (type strings) of block files in any store that Spark reads."""
     schema = storage_schema(list(columns), [types.parse(k) for k in columns.values()])
-    arrow = to_arrow_schema(schema, timezone="UTC")
+    arrow = to_arrow_schema(schema)
     names = schema.names
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for block in read_blocks(content.as_buffer(), compression_of(name) != "none", names):
+                for block in read_blocks(content.as_py(), compression_of(name) != "none", names):
                     yield to_batch(block, arrow)
 
     source = spark.read.format("binaryFile").option("pathGlobFilter", f"*{SUFFIX}").load(path)
