@@ -24,8 +24,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WINDOW, STRIDE = 32, 24
 #: Labelled rows of either class, and bytes of a text, for training.
@@ -35,7 +37,7 @@ THRESHOLD = 0.7
 WIDTH, HIDDEN, LOOK = 8, 8, 8
 EPOCHS, BATCH, RATE, SEED = 6, 48, 0.01, 7
 #: Spellings whose hashes a worker keeps; it forgets all of them beyond.
-MEMO = 400_000
+MEMO = 150_000
 GRAMS = 8
 #: Share of a training batch's spellings that are blanked.
 DROP = 0.3
@@ -67,33 +69,30 @@ def common_grams(texts: list[str]) -> dict[str, int]:
 
 
 class Spellings:
-    """Numbers for spellings, with the grams of each. Number 0 is padding; spellings of equal known grams share a number."""
+    """Numbers for spellings, with the grams of each. Number 0 is padding."""
 
     def __init__(self, known: dict[str, int]):
         self.known = known
         self.forget()
 
     def forget(self) -> None:
-        self.rows: list[tuple[int, ...]] = [(-1,) * GRAMS]
-        self.same: dict[tuple[int, ...], int] = {}
         self.number: dict[str, int] = {}
+        self.rows: list[list[int]] = [[0] * GRAMS]
         self.table = np.empty((0, 6 * HIDDEN), np.float32)
 
     def gates(self, w: Weights) -> np.ndarray:
         """What each number puts into the gates; only numbers that came since the last call are worked out."""
         have = len(self.table)
-        if have < len(self.rows):
-            self.table = np.concatenate([self.table, project(w, embed(w, np.array(self.rows[have:], np.int32)))])
+        if have <= len(self.number):
+            self.table = np.concatenate([self.table, project(w, embed(w, np.array(self.rows, np.int32)))])
+            self.rows = []
         return self.table
 
     def ids(self, words: list[str]) -> np.ndarray:
-        number, same, get = self.number, self.same, self.known.get
+        number, get = self.number, self.known.get
         for word in set(words).difference(number):
-            row = tuple([get(g, 0) for g in grams(word)])
-            if row not in same:
-                same[row] = len(self.rows)
-                self.rows.append(row)
-            number[word] = same[row]
+            number[word] = len(number) + 1
+            self.rows.append([get(g, 0) for g in grams(word)])
         return np.fromiter(map(number.__getitem__, words), np.int32, len(words))
 
 
@@ -121,7 +120,6 @@ def fresh(known: int, seed: int = SEED) -> Weights:
 
 def embed(w: Weights, rows: np.ndarray) -> np.ndarray:
     """The inputs of spellings, given their grams; those of padding are zero, as all its grams are unknown."""
-    rows = np.maximum(rows, 0)
     return np.concatenate([w["word"][rows[:, 0]], w["char"][rows[:, 1:]].mean(axis=1)], axis=1)
 
 
@@ -196,7 +194,6 @@ def backward(w: Weights, x: np.ndarray, shown: np.ndarray, rows: np.ndarray, k:
     np.add.at(per_row, k["index"].reshape(-1), flat)
     g["inp"], g["inp0"] = x.T @ per_row, flat.sum(axis=0)
     d_x = per_row @ w["inp"].T * shown
-    rows = np.maximum(rows, 0)
     g["word"], g["char"] = np.zeros_like(w["word"]), np.zeros_like(w["char"])
     np.add.at(g["word"], rows[:, 0], d_x[:, :WIDTH])
     np.add.at(g["char"], rows[:, 1:].reshape(-1), np.repeat(d_x[:, WIDTH:] / (GRAMS - 1), GRAMS - 1, axis=0))
@@ -258,8 +255,8 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = SEED) -
                 v[name] = 0.999 * v[name] + 0.001 * grad * grad
                 w[name] -= (rate * (m[name] / (np.sqrt(v[name]) + 1e-7))).astype(np.float32)
     # The text's score: logistic regression, by Newton's steps with a small ridge, at the true share of label 1.
-    index, starts = cut(texts, vocabulary)
-    f = text_features(logits(w, vocabulary.gates(w), index), starts)
+    starts = np.cumsum([0] + [len(p) for p in each])[:-1]
+    f = text_features(logits(w, project(w, embed(w, rows)), np.concatenate(each)), starts)
     mean, spread = f.mean(axis=0), f.std(axis=0) + 1e-6
     a = np.column_stack([np.ones(len(f)), (f - mean) / spread])
     weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean())) if 0 < y.mean() < 1 else np.ones(len(y))
@@ -271,7 +268,7 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = SEED) -
     return Model(known, w | {"mean": mean, "spread": spread, "fit": b})
 
 
-def logits(w: Weights, gates: np.ndarray, index: np.ndarray, at_once: int = 4096) -> np.ndarray:
+def logits(w: Weights, gates: np.ndarray, index: np.ndarray, at_once: int = 2048) -> np.ndarray:
     return np.concatenate([forward(w, gates, index[i : i + at_once]) for i in range(0, len(index), at_once)]) if len(index) else np.zeros(0, np.float32)
 
 
@@ -310,24 +307,29 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes
 def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, keep: tuple[str, ...] = (), model: Model | None = None) -> DataFrame:
     """doc_id, held_out, score and predicted of every row, and its columns ``keep``."""
     model = model or learn(docs, labels)
-    columns = [F.col(c) for c in keep if c not in ("doc_id", "text")]
-    wide = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"), F.struct(F.col("doc_id"), F.col("text"), *columns).alias("row"))
+    names = list(dict.fromkeys(("doc_id", "text", *keep)))
+    slim = docs.select(F.struct(*names).alias("row"))
     if model is None:
-        told = wide.withColumn("score", F.lit(0.0))
+        told = slim.withColumn("score", F.lit(0.0))
     else:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vocabulary = Spellings(model.known)
             for batch in batches:
-                sizes = np.cumsum(pa.compute.binary_length(batch.column(0)).to_numpy())
+                rows = batch.column(0)
+                sizes = np.cumsum(pc.fill_null(pc.binary_length(rows.field("text")), 0).to_numpy())
                 at = 0
                 while at < batch.num_rows:
                     stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + 1_000_000)))
-                    part = batch.slice(at, stop - at)
-                    yield pa.RecordBatch.from_arrays([part.column(1), pa.array(scores(model.weights, part.column(0).to_pylist(), vocabulary))], schema=pa.schema([pa.field("row", part.column(1).type), pa.field("score", pa.float64())]))
+                    part = rows.slice(at, stop - at)
+                    told = scores(model.weights, [t or "" for t in part.field("text").to_pylist()], vocabulary)
+                    if not with_text:
+                        part = pa.StructArray.from_arrays([part.field("doc_id")], names=["doc_id"])
+                    yield pa.RecordBatch.from_arrays([part, pa.array(told, pa.float64())], names=["row", "score"])
                     at = stop
 
-        slim = wide if keep else wide.withColumn("row", F.struct(F.col("row.doc_id").alias("doc_id")))
-        told = slim.mapInArrow(run, f"row {slim.schema['row'].dataType.simpleString()}, score double")
+        with_text = bool(keep)
+        kind = slim.schema["row"].dataType if with_text else T.StructType([slim.schema["row"].dataType["doc_id"]])
+        told = slim.mapInArrow(run, f"row {kind.simpleString()}, score double")
     kept = [F.col(f"row.{c}").alias(c) for c in dict.fromkeys(("doc_id", *keep))]
     return told.select(*kept, held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
