@@ -10,7 +10,7 @@ context is the run's strings put together. Then, all in tables:
    anchors; it leaves out starts whose strings' hashes no other start in the block has, counts equal pieces once, and builds the suffix array
    of the pieces (``suffix.py``): strings repeat where neighbours in it agree on ``length`` bytes.
 3. An anchor with over ``CROWD`` contexts is not gathered in a task. Its contexts are cut into tiles of a few starts, which are counted by 128
-   bits of hash in an aggregate with partial sums; strings of tiles that occur once are counted one by one against one tile of each kind. So a
+   bits of hash in an aggregate with partial sums; of tiles that occur once and share their core with others, strings are counted one by one against one tile of each kind. So a
    passage in a third of all texts is spread like any other.
 
 Texts are matched by (doc_id, hash of the text); tables of a step are written to the shared folder.
@@ -185,11 +185,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     texts = docs.select(*keyed(docs, id_col, text_col), body).where(F.octet_length("body") >= length)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, hashes = (batch.column(i).to_numpy() for i in (0, 1))
-            for r in runs(batch.column(2).to_pylist(), length, gram):
-                columns = [ids[r["text"]], hashes[r["text"]], r["h"], r["c"], r["lo"], r["n"].astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["id", "t", "h", "c", "lo", "n"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                ids, hashes = (batch.column(i).to_numpy() for i in (0, 1))
+                for r in runs(batch.column(2).to_pylist(), length, gram):
+                    columns = [ids[r["text"]], hashes[r["text"]], r["h"], r["c"], r["lo"], r["n"].astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["id", "t", "h", "c", "lo", "n"])
 
     found = texts.mapInArrow(scan, "id long, t long, h long, c long, lo long, n int")
     seen = found.groupBy("h").agg(F.count("*").alias("k"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("k > 1")
@@ -245,21 +247,25 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
                     first, size = cuts[:-1], np.diff(cuts)
                     sums = [u.sums(data) for u in hashers()]
                     joint = [u.between(x, first, first + size + (length - 1)) + size.astype(np.uint64) for u, x in zip(hashers(), sums, strict=True)]
-                    parts.append((first, size, *joint, *(u.each(x, length) for u, x in zip(hashers(), sums, strict=True))))
-                first, size, w1, w2, v1, v2 = (np.concatenate(x) for x in zip(*parts, strict=True))
+                    cell = first - (first - anchor) % TILE
+                    core = hashers()[0].between(sums[0], np.minimum(cell + TILE - 1, cell + length), cell + length)
+                    parts.append((first, size, *joint, core, *(u.each(x, length) for u, x in zip(hashers(), sums, strict=True))))
+                first, size, w1, w2, core, v1, v2 = (np.concatenate(x) for x in zip(*parts, strict=True))
                 index = np.repeat(np.arange(len(parts)), [len(x[0]) for x in parts])
                 ids, hashes, copies, lo = (batch.column(i).to_numpy()[index] for i in (1, 2, 0, 3))
                 ends = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(ends, pa.array(v.view(np.int64))) for v in (v1, v2)]
-                columns = [w1.view(np.int64), w2.view(np.int64), copies, ids, hashes, lo + first, size.astype(np.int64)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *lists], names=["w1", "w2", "m", "id", "t", "a", "n", "v1", "v2"])
+                columns = [w1.view(np.int64), w2.view(np.int64), core.view(np.int64), copies, ids, hashes, lo + first, size.astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *lists], names=["w1", "w2", "core", "m", "id", "t", "a", "n", "v1", "v2"])
 
-    # Tiles that occur more than once are covered. Of the others each string is counted, with one tile of every kind.
-    tiled = fetched.where(F.col("d") > crowd).select("m", "id", "t", "lo", "context").mapInArrow(tiles, "w1 long, w2 long, m long, id long, t long, a long, n long, v1 array<long>, v2 array<long>")
-    kind = tiled.groupBy("w1", "w2").agg(F.sum("m").alias("k"), F.min(F.struct("id", "t", "a")).alias("at"), F.first("v1").alias("v1"), F.first("v2").alias("v2"))
+    # Tiles that occur more than once are covered. Of the others each string is counted, against one tile of every kind; as all strings of a tile
+    # contain its core - what they have in common - only kinds whose core another kind has can have strings in common with it.
+    tiled = fetched.where(F.col("d") > crowd).select("m", "id", "t", "lo", "context").mapInArrow(tiles, "w1 long, w2 long, core long, m long, id long, t long, a long, n long, v1 array<long>, v2 array<long>")
+    kind = tiled.groupBy("w1", "w2").agg(F.sum("m").alias("k"), F.min(F.struct("id", "t", "a")).alias("at"), F.first("core").alias("core"), F.first("v1").alias("v1"), F.first("v2").alias("v2"))
     common = skew_join(tiled.where("m = 1").select("w1", "w2", "id", "t", "a", "n"), kind.where("k > 1").select("w1", F.col("w2").alias("w3")), "w1").where("w2 = w3")
     by_tile = common.select("id", "t", "a", (F.col("a") + F.col("n") + (length - 1)).alias("b"))
-    single = kind.select(F.least("k", F.lit(2)).alias("k"), "at", F.posexplode(F.arrays_zip("v1", "v2")).alias("i", "v")).select("k", "at.id", "at.t", (F.col("at.a") + F.col("i")).alias("a"), "v.v1", "v.v2")
+    cores = kind.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1").select("core")
+    single = skew_join(kind, cores, "core").select(F.least("k", F.lit(2)).alias("k"), "at", F.posexplode(F.arrays_zip("v1", "v2")).alias("i", "v")).select("k", "at.id", "at.t", (F.col("at.a") + F.col("i")).alias("a"), "v.v1", "v.v2")
     again = single.groupBy("v1", "v2").agg(F.sum("k").alias("k")).where("k > 1").select("v1", F.col("v2").alias("v3"))
     by_string = skew_join(single.where("k = 1"), again, "v1").where("v2 = v3").select("id", "t", "a", (F.col("a") + length).alias("b"))
     by_count = by_tile.unionByName(by_string)
