@@ -8,13 +8,12 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import types
 from ..functions import values as V
 from ..functions.cityhash import cityhash128_col
 from ..operators import drain, retry
-from ..operators.engine import Engine, EngineOptions, InputColumn, InsertQuery, ResultColumn, SelectQuery
+from ..operators.engine import Engine, EngineOptions, InputColumn, InsertQuery, ResultColumn, SelectQuery, check_schema
 from ..sources.block import decode_block, encode_block
 from ..sources.wire import Reader
 from ..streaming import stream
@@ -103,8 +102,6 @@ def mixed_columns(n) -> list:
 def mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fourteen column types of one table, checked as an engine result, then taken apart into plain columns."""
     made = read(spark, sf_dir, "events").select(*mixed_columns(F.col("event_id")))
-    from ..operators.engine import check_schema
-
     check_schema(made.schema, [ResultColumn(t, n) for n, t in MIXED.items()])
     return made.select(
         "n32", "s", "lc", F.coalesce("nu", F.lit(-1)).alias("nu"), F.size("ar").alias("ar_size"), F.aggregate("ar", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("ar_sum"), F.element_at("mp", "t").alias("mp_t"),
