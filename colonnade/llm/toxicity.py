@@ -1,7 +1,8 @@
 """Toxicity scores from a bidirectional gated recurrent network with attention pooling, trained and run in numpy.
 
 Inputs of a step are a word's own embedding and the mean of the embeddings of its character grams (prefixes and suffixes), for words and grams that
-several training texts have, so spellings never seen still have an input by their grams. A text is cut into overlapping windows of ``WINDOW`` words, one every ``STRIDE``;
+several training texts have, so spellings never seen still have an input by their grams; and how far a word and its grams tell the classes apart, by counts
+over the training sample - while training, over the folds of it that a text is not in, so that no text is told its own label. A text is cut into overlapping windows of ``WINDOW`` words, one every ``STRIDE``;
 two recurrent passes read each window, attention pools their states, and a logit comes out. All windows of the whole text count: a
 text's score is a logistic function of its highest window logit, the mean of its three highest and the mean window probability.
 
@@ -39,8 +40,10 @@ EPOCHS, BATCH, RATE, SEED = 6, 48, 0.01, 7
 #: Spellings whose hashes a worker keeps; it forgets all of them beyond.
 MEMO = 150_000
 GRAMS = 8
-#: Share of a training batch's spellings that are blanked.
-DROP = 0.3
+#: Inputs that tell evidence, and the folds of the training texts: a text is told the evidence of the other folds.
+FACTS, FOLDS = 4, 5
+#: Share of a training batch's spellings that are blanked, and what embeddings lose in a step, in units of the learning rate.
+DROP, DECAY = 0.5, 20.0
 #: Training texts, and share of them, that a gram must occur in to have an embedding, which keeps the network from learning texts by heart.
 LEAST_TEXTS, LEAST_SHARE = 4, 0.006
 Weights = dict[str, np.ndarray]
@@ -109,18 +112,35 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def evidence(texts: list[str], labels: list[int], known: dict[str, int]) -> np.ndarray:
+    """How far the shares of texts with a gram differ between the classes: their log odds over its standard error, 0 for unknown grams."""
+    n = np.zeros((2, len(known) + 1))
+    for text, label in zip(texts, labels, strict=True):
+        n[label, list({known[g] for word in set(text.split()) for g in grams(word) if g in known})] += 1
+    of = np.bincount(labels, minlength=2)[:, None] + 1.0
+    n += 0.5
+    odds = np.log(n / (of - n))
+    z = (odds[1] - odds[0]) / np.sqrt((1 / n + 1 / (of - n)).sum(axis=0))
+    z[0] = 0
+    return (z / 3).astype(np.float32)
+
+
 def fresh(known: int, seed: int = SEED) -> Weights:
     rng = np.random.default_rng(seed)
-    shape = {"word": (known + 1, WIDTH), "char": (known + 1, WIDTH), "inp": (2 * WIDTH, 6 * HIDDEN), "fore": (HIDDEN, 3 * HIDDEN), "back": (HIDDEN, 3 * HIDDEN), "look": (2 * HIDDEN, LOOK), "pick": (LOOK,), "out": (2 * HIDDEN,)}
-    scale = {"word": 0.1, "char": 0.3, "inp": 0.4, "fore": 0.3, "back": 0.3, "look": 0.4, "pick": 0.4, "out": 0.4}
+    shape = {"word": (known + 1, WIDTH), "char": (known + 1, WIDTH), "inp": (2 * WIDTH + FACTS, 6 * HIDDEN), "fore": (HIDDEN, 3 * HIDDEN), "back": (HIDDEN, 3 * HIDDEN), "look": (2 * HIDDEN, LOOK), "pick": (LOOK,), "out": (2 * HIDDEN,)}
+    scale = {"word": 0.01, "char": 0.01, "inp": 0.4, "fore": 0.3, "back": 0.3, "look": 0.4, "pick": 0.4, "out": 0.4}
     w = {k: (rng.standard_normal(s) * scale[k]).astype(np.float32) for k, s in shape.items()}
     w["word"][0] = w["char"][0] = 0
     return w | {"inp0": np.zeros(6 * HIDDEN, np.float32), "look0": np.zeros(LOOK, np.float32), "out0": np.full(1, -1.0, np.float32)}
 
 
-def embed(w: Weights, rows: np.ndarray) -> np.ndarray:
-    """The inputs of spellings, given their grams; those of padding are zero, as all its grams are unknown."""
-    return np.concatenate([w["word"][rows[:, 0]], w["char"][rows[:, 1:]].mean(axis=1)], axis=1)
+def embed(w: Weights, rows: np.ndarray, told: np.ndarray | None = None) -> np.ndarray:
+    """The inputs of spellings, given their grams: embeddings, and the evidence of the word and of its character grams (mean, most
+    and least). Those of padding are zero, as all its grams are unknown."""
+    e = (w["evidence"] if told is None else told)[rows]
+    chars = e[:, 1:]
+    facts = np.column_stack([e[:, 0], chars.mean(axis=1), chars.max(axis=1), chars.min(axis=1)])
+    return np.concatenate([w["word"][rows[:, 0]], w["char"][rows[:, 1:]].mean(axis=1), facts], axis=1)
 
 
 def project(w: Weights, x: np.ndarray) -> np.ndarray:
@@ -196,7 +216,7 @@ def backward(w: Weights, x: np.ndarray, shown: np.ndarray, rows: np.ndarray, k:
     d_x = per_row @ w["inp"].T * shown
     g["word"], g["char"] = np.zeros_like(w["word"]), np.zeros_like(w["char"])
     np.add.at(g["word"], rows[:, 0], d_x[:, :WIDTH])
-    np.add.at(g["char"], rows[:, 1:].reshape(-1), np.repeat(d_x[:, WIDTH:] / (GRAMS - 1), GRAMS - 1, axis=0))
+    np.add.at(g["char"], rows[:, 1:].reshape(-1), np.repeat(d_x[:, WIDTH : 2 * WIDTH] / (GRAMS - 1), GRAMS - 1, axis=0))
     g["word"][0] = g["char"][0] = 0
     return g
 
@@ -227,18 +247,20 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = SEED) -
     weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
     m, v, step = {k: np.zeros_like(a) for k, a in w.items()}, {k: np.zeros_like(a) for k, a in w.items()}, 0
     epochs = max(EPOCHS, min(30, 12_000 // max(len(texts), 1)))
-    total = epochs * -(-len(texts) // BATCH)
+    total = epochs * (-(-len(texts) // BATCH) + FOLDS)
+    fold = np.arange(len(texts)) % FOLDS
+    rng.shuffle(fold)
+    told = [evidence([t for t, f in zip(texts, fold, strict=True) if f != k], [v for v, f in zip(labels, fold, strict=True) if f != k], known) for k in range(FOLDS)]
     for _ in range(epochs):
-        order = rng.permutation(len(texts))
-        for at in range(0, len(order), BATCH):
-            some = order[at : at + BATCH]
+        batches = [(k, some) for k in range(FOLDS) for own in [rng.permutation(np.flatnonzero(fold == k))] for some in np.array_split(own, max(1, -(-len(own) // BATCH))) if len(some)]
+        for k, some in [batches[i] for i in rng.permutation(len(batches))]:
             starts = np.cumsum([0] + [len(each[i]) for i in some])[:-1]
             used, index = np.unique(np.concatenate([[[0] * WINDOW], *(each[i] for i in some)]), return_inverse=True)
             index = index.reshape(-1, WINDOW)[1:]
             own = rows[used]
             keep: dict = {}
             shown = (rng.random(len(own)) >= DROP).astype(np.float32)[:, None]
-            x = embed(w, own) * shown
+            x = embed(w, own, told[k]) * shown
             z = forward(w, project(w, x), index, keep).astype(np.float64)
             # Log-mean-exp over a text's windows, and the share of each window in its gradient.
             size = np.diff(np.append(starts, len(z)))
@@ -253,10 +275,16 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = SEED) -
             for name, grad in g.items():
                 m[name] = 0.9 * m[name] + 0.1 * grad
                 v[name] = 0.999 * v[name] + 0.001 * grad * grad
+                if name in ("word", "char"):
+                    w[name] *= 1 - rate * DECAY
                 w[name] -= (rate * (m[name] / (np.sqrt(v[name]) + 1e-7))).astype(np.float32)
     # The text's score: logistic regression, by Newton's steps with a small ridge, at the true share of label 1.
-    starts = np.cumsum([0] + [len(p) for p in each])[:-1]
-    f = text_features(logits(w, project(w, embed(w, rows)), np.concatenate(each)), starts)
+    f = np.empty((len(texts), 3))
+    for k in range(FOLDS):
+        own = np.flatnonzero(fold == k)
+        if len(own):
+            starts = np.cumsum([0] + [len(each[i]) for i in own])[:-1]
+            f[own] = text_features(logits(w, project(w, embed(w, rows, told[k])), np.concatenate([each[i] for i in own])), starts)
     mean, spread = f.mean(axis=0), f.std(axis=0) + 1e-6
     a = np.column_stack([np.ones(len(f)), (f - mean) / spread])
     weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean())) if 0 < y.mean() < 1 else np.ones(len(y))
@@ -265,7 +293,7 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = SEED) -
         p = sigmoid(a @ b)
         hessian = (a * (weight * p * (1 - p))[:, None]).T @ a + np.diag([1e-3, 1, 1, 1])
         b += np.linalg.solve(hessian, a.T @ (weight * (y - p)) - np.array([1e-3, 1, 1, 1]) * b)
-    return Model(known, w | {"mean": mean, "spread": spread, "fit": b})
+    return Model(known, w | {"evidence": evidence(texts, labels, known), "mean": mean, "spread": spread, "fit": b})
 
 
 def logits(w: Weights, gates: np.ndarray, index: np.ndarray, at_once: int = 2048) -> np.ndarray:
@@ -304,32 +332,36 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes
     return train([t for _, t, _ in rows], [y for _, _, y in rows], float(share), seed)
 
 
-def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, keep: tuple[str, ...] = (), model: Model | None = None) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row, and its columns ``keep``."""
+def scored_rows(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...], model: Model | None = None) -> DataFrame:
+    """row (a struct of the columns ``keep``) and score of every row."""
     model = model or learn(docs, labels)
-    names = list(dict.fromkeys(("doc_id", "text", *keep)))
-    slim = docs.select(F.struct(*names).alias("row"))
     if model is None:
-        told = slim.withColumn("score", F.lit(0.0))
-    else:
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            vocabulary = Spellings(model.known)
-            for batch in batches:
-                rows = batch.column(0)
-                sizes = np.cumsum(pc.fill_null(pc.binary_length(rows.field("text")), 0).to_numpy())
-                at = 0
-                while at < batch.num_rows:
-                    stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + 1_000_000)))
-                    part = rows.slice(at, stop - at)
-                    told = scores(model.weights, [t or "" for t in part.field("text").to_pylist()], vocabulary)
-                    if not with_text:
-                        part = pa.StructArray.from_arrays([part.field("doc_id")], names=["doc_id"])
-                    yield pa.RecordBatch.from_arrays([part, pa.array(told, pa.float64())], names=["row", "score"])
-                    at = stop
-
-        with_text = bool(keep)
-        kind = slim.schema["row"].dataType if with_text else T.StructType([slim.schema["row"].dataType["doc_id"]])
-        told = slim.mapInArrow(run, f"row {kind.simpleString()}, score double")
-    kept = [F.col(f"row.{c}").alias(c) for c in dict.fromkeys(("doc_id", *keep))]
-    return told.select(*kept, held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+        return docs.select(F.struct(*keep).alias("row"), F.lit(0.0).alias("score"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Spellings(model.known)
+        for batch in batches:
+            texts, rows = (batch.column(0).field("text"), batch.column(0)) if inside else (batch.column(1), batch.column(0))
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+            at = 0
+            while at < batch.num_rows:
+                stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + 1_000_000)))
+                told = scores(model.weights, [t or "" for t in texts.slice(at, stop - at).to_pylist()], vocabulary)
+                yield pa.RecordBatch.from_arrays([rows.slice(at, stop - at), pa.array(told, pa.float64())], names=["row", "score"])
+                at = stop
+
+    inside = "text" in keep  # then the text travels once
+    given = docs.select(F.struct(*keep).alias("row"), *(() if inside else ("text",)))
+    return given.mapInArrow(run, T.StructType([T.StructField("row", given.schema["row"].dataType), T.StructField("score", T.DoubleType())]))
+
+
+def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, model: Model | None = None) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row."""
+    told = scored_rows(docs, labels, ("doc_id",), model)
+    return told.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, model: Model | None = None) -> DataFrame:
+    """The rows whose score is below the threshold, with all their columns."""
+    told = scored_rows(docs, labels, tuple(docs.columns), model).where(F.col("score") < threshold)
+    return told.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))

@@ -11,7 +11,6 @@ import hashlib
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from colonnade.llm import bpe, mixing, repeats, simhash, toxicity
 from colonnade.llm.common import stored, table
@@ -21,8 +20,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold."""
-    scored = toxicity.score(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
-    return scored.where(F.col("predicted") == 0).select(docs.columns)
+    return toxicity.clean(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

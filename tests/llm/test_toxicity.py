@@ -34,6 +34,7 @@ def test_gradients_match_differences():
     index = np.concatenate([toxicity.windows(spellings.ids(t.split())) for t in texts])
     rows = np.array(spellings.rows, np.int32)
     w = {k: v.astype(np.float64) for k, v in toxicity.fresh(len(known)).items()}
+    w["evidence"] = rng.standard_normal(len(known) + 1)
     shown = np.ones((len(rows), 1))
     d = rng.standard_normal(len(index))
 
@@ -55,6 +56,13 @@ def test_gradients_match_differences():
             assert grads[name].reshape(-1)[at] == pytest.approx((up - down) / 2e-2, rel=0.05, abs=0.02), name
 
 
+def test_evidence_tells_the_classes_apart():
+    texts, labels = corpus(90)
+    known = toxicity.common_grams(texts)
+    told = toxicity.evidence(texts, labels, known)
+    assert told[0] == 0 and min(told[known[f"={w}"]] for w in BAD) > 1 > np.abs(told[known["=lana"]])
+
+
 def test_every_word_is_in_a_window():
     for n in (0, 1, 31, 32, 33, 56, 57, 500):
         ids = np.arange(1, n + 1)
@@ -72,6 +80,8 @@ def test_held_out_accuracy(spark):
     held = [i for i in range(600) if by[i]["held_out"]]
     assert sum(by[i]["predicted"] == labels[i] for i in held) / len(held) >= 0.95
     assert by[None]["score"] == by[900]["score"] and not by[901]["predicted"]
+    kept = toxicity.clean(docs, told)
+    assert kept.columns == docs.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(r["doc_id"]) for r in rows if not r["predicted"])
     again = {r["doc_id"]: r["score"] for r in toxicity.score(docs, told).collect()}
     assert again == {k: r["score"] for k, r in by.items()}
 
