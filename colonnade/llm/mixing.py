@@ -89,18 +89,21 @@ def raked_cells(masses: DataFrame, targets: Mapping[str, float | Mapping[str, fl
 
 def mix(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, topic: Column | None = None, sweeps: int = SWEEPS, seed: int = SEED) -> DataFrame:
     """The sampled rows of ``docs`` (doc_id, text, source, lang and others) with topic, tokens and probability."""
-    tokens = token_count(F.col("text"))
-    counted = docs.withColumn("tokens", tokens)
-    counted = counted.withColumn("topic", topic if topic is not None else surface_topic(F.col("text"), F.col("tokens")))
+    own = [c for c in docs.columns if c not in ("topic", "tokens", "probability")]
+    given = [] if topic is None else [topic.alias("topic")]
+    # The row travels as one column, so that no name of its own can clash with those added here.
+    counted = docs.select(F.struct(*own).alias("row"), F.col("doc_id").alias("id"), "text", "source", "lang", token_count(F.col("text")).alias("tokens"), *given)
+    if topic is None:
+        counted = counted.withColumn("topic", surface_topic(F.col("text"), F.col("tokens")))
     masses = counted.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("mass"))
-    cells = raked_cells(masses, targets, sweeps).select(*(F.col(d).alias(f"_{d}") for d in DIMENSIONS), F.col("probability").alias("_p"))
+    cells = raked_cells(masses, targets, sweeps).select(*(F.col(d).alias(f"cell_{d}") for d in DIMENSIONS), "probability")
     same = F.lit(True)
     for d in DIMENSIONS:
-        same = same & F.col(d).eqNullSafe(F.col(f"_{d}"))
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))))
+        same = same & F.col(d).eqNullSafe(F.col(f"cell_{d}"))
+    key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))))
     draw = F.conv(F.substring(F.md5(key.cast("binary")), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
-    joined = counted.join(F.broadcast(cells), same).where(draw < F.col("_p"))
-    return joined.withColumn("probability", F.col("_p")).drop("_p", *(f"_{d}" for d in DIMENSIONS))
+    joined = counted.join(F.broadcast(cells), same).where(draw < F.col("probability"))
+    return joined.select(*(F.col(f"row.`{c}`").alias(c) for c in own), "topic", "tokens", "probability")
 
 
 def oracle(targets: Mapping[str, float | Mapping[str, float]] = TARGETS, sweeps: int = SWEEPS, seed: int = SEED, documents: str = "documents", columns: str = "doc_id, source, lang, topic, tokens, round(probability, 6) AS probability") -> str:

@@ -118,6 +118,7 @@ def representatives(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, s
     """One row of each component, with all its columns: the one with the smallest doc_id, rows without an id last; of rows with
     equal id the one whose text hashes lowest, and any one of equal rows."""
     chosen = grouped(docs, bits, shingle, seed, bucket).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t")).alias("x"))
-    chosen = chosen.select(F.coalesce("x.doc_id", F.lit(0)).alias("_id"), F.col("x.t").alias("_t"))
-    marked = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0))).withColumn("_t", F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))))
-    return marked.join(chosen, ["_id", "_t"], "left_semi").dropDuplicates(["_id", "_t"]).drop("_id", "_t")
+    chosen = chosen.select(F.coalesce("x.doc_id", F.lit(0)).alias("id"), F.col("x.t").alias("t"))
+    row = F.struct(*docs.columns).alias("row")
+    marked = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))).alias("t"), row)
+    return marked.join(chosen, ["id", "t"], "left_semi").dropDuplicates(["id", "t"]).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
