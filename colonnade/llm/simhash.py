@@ -117,7 +117,12 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, s
 def representatives(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
     """One row of each component, with all its columns: the one with the smallest doc_id, rows without an id last; of rows with
     equal id the one whose text hashes lowest, and any one of equal rows."""
-    chosen = grouped(docs, bits, shingle, seed, bucket).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t")).alias("x"))
+    return one_of_each(docs, grouped(docs, bits, shingle, seed, bucket))
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The chosen row of each root of ``groups`` (doc_id, t, root)."""
+    chosen = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t")).alias("x"))
     chosen = chosen.select(F.coalesce("x.doc_id", F.lit(0)).alias("id"), F.col("x.t").alias("t"))
     row = F.struct(*docs.columns).alias("row")
     marked = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))).alias("t"), row)

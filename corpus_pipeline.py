@@ -12,7 +12,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from colonnade.llm import bpe, mixing, repeats, simhash, toxicity
+from colonnade.llm import bpe, mixing, nearcopies, repeats, toxicity
 from colonnade.llm.common import stored, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -24,8 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.representatives(docs)
+    """One document of each group of near-duplicates: five-word shingles, a verified Jaccard similarity of 0.8 or more."""
+    return nearcopies.representatives(docs)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
