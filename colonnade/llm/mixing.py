@@ -11,7 +11,8 @@ are read twice and meet the cells in a broadcast join bounded by their number; n
 Defined results: null is a level of its own in each dimension; a null or empty text counts as one token, as does any text
 without words; a document without an id draws by its text instead; rows with the same id are kept or dropped together;
 an empty table gives an empty result; other columns ride along untouched, and names that clash with those added here are replaced.
-Levels that targets do not name share what the named ones leave, in their natural proportions.
+Levels that targets do not name share what the named ones leave, in their natural proportions; where these leave nothing, levels
+without a name keep their natural shares and the named ones share the rest in proportion. Levels with a target of 0 get nothing.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ DIMENSIONS = ("source", "lang", "topic")
 TARGETS: dict[str, float | Mapping[str, float]] = {"source": 0.5, "lang": {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}, "topic": 0.8}
 SWEEPS = 30
 SEED = 20
+#: Named targets that leave less than this leave nothing.
+LEFT = 1e-9
 #: Words, as the token count of a document. The class is spelt out since engines differ in what \s covers.
 WORDS = r"[^ \t\n\r]+"
 
@@ -58,7 +61,9 @@ def _target(dim: str, rule: float | Mapping[str, float]) -> str:
         known = f"transform(lv_{dim}, v -> if(v is null, null, try_element_at({named}, v)))"
         given = f"aggregate({known}, 0D, (a, x) -> a + coalesce(x, 0D))"
         loose = f"aggregate(zip_with({known}, own_{dim}, (x, o) -> if(x is null, o, 0D)), 0D, (a, x) -> a + x)"
-        raw = f"zip_with({known}, own_{dim}, (x, o) -> coalesce(x, greatest(1D - {given}, 0D) * o / {loose}))"
+        # Where the named levels would leave the others nothing, these keep their natural shares and the named ones share the rest.
+        whole = f"if(x is null, o, x * (1D - {loose}) / {given})"
+        raw = f"zip_with({known}, own_{dim}, (x, o) -> if({given} > {1 - LEFT!r}D and {loose} > 0D, {whole}, coalesce(x, (1D - {given}) * o / {loose})))"
     else:
         raw = f"transform(own_{dim}, o -> pow(o, {float(rule)!r}D))"
     return f"transform({raw}, x -> x / aggregate({raw}, 0D, (a, y) -> a + y))"
@@ -79,7 +84,7 @@ def raked_cells(masses: DataFrame, targets: Mapping[str, float | Mapping[str, fl
     for d in DIMENSIONS:
         # One step as a fold over a one-element array, which binds the weights so far to a name.
         sums = f"transform(in_{d}, g -> aggregate(g, 0D, (a, i) -> a + w[i]))"
-        scaled = f"flatten(zip_with(in_{d}, zip_with({sums}, to_{d}, (s, t) -> t / s), (g, f) -> transform(g, i -> w[i] * f)))"
+        scaled = f"flatten(zip_with(in_{d}, zip_with({sums}, to_{d}, (s, t) -> coalesce(try_divide(t, s), 0D)), (g, f) -> transform(g, i -> w[i] * f)))"
         step = f"aggregate(array({step}), array(0D), (z, w) -> aggregate(array({scaled}), array(0D), (y, f) -> transform(back_{d}, p -> f[p])))"
     one = one.withColumn("w", F.expr(f"aggregate(sequence(1, {sweeps}), {state}, (w, n) -> {step})"))
     factor = one.withColumn("f", F.expr("zip_with(w, c, (x, y) -> x * total / y.mass)"))

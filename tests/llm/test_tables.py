@@ -44,6 +44,19 @@ def test_raked_cells_meet_the_targets(spark):
     assert max(r["probability"] for r in rows) == 1 and all(r["probability"] == pytest.approx(r["raked"] / r["mass"] / max(x["raked"] / x["mass"] for x in rows)) for r in rows)
 
 
+def test_levels_without_a_name_keep_a_share(spark):
+    cells = [(s, g, "x", m) for s in "ab" for g, m in (("en", 400), ("de", 100), ("fr", 50), ("es", 50), ("it", 100), (None, 300))]
+    schema = "source string, lang string, topic string, mass long"
+    rows = mixing.raked_cells(spark.createDataFrame(cells, schema)).collect()
+    share = {g: sum(r["raked"] for r in rows if r["lang"] == g) for g in {r["lang"] for r in rows}}
+    assert share == pytest.approx({"it": 0.1, None: 0.3, "en": 0.3, "de": 0.12, "fr": 0.12, "es": 0.06}) and min(r["probability"] for r in rows) > 0
+    none = mixing.raked_cells(spark.createDataFrame(cells, schema), {**mixing.TARGETS, "lang": {"en": 1.0, "de": 0.0}}).where("lang = 'de'").collect()
+    assert [r["probability"] for r in none] == [0, 0]
+    rows = [(i, f"w {i}", "s", ["en", "de", "fr", "es", "it", None][i % 6], 3, "", "", "") for i in range(600)]
+    kept = mixing.mix(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r["lang"] for r in kept} == {"en", "de", "fr", "es", "it", None}
+
+
 def test_mixing_empty(spark):
     assert mixing.mix(spark.createDataFrame([], DOCS)).count() == 0
 
