@@ -2,7 +2,8 @@
 
 Inputs of a step are a word's own embedding and the mean of the embeddings of its character grams (prefixes and suffixes), for words and grams that
 several training texts have, so spellings never seen still have an input by their grams; and how far a word and its grams tell the classes apart, by counts
-over the training sample - while training, over the folds of it that a text is not in, so that no text is told its own label. A text is cut into overlapping windows of ``WINDOW`` words, one every ``STRIDE``;
+over the training sample - while training, over the folds of it that a text is not in, so that no text is told its own label. Words stand between white space;
+what is glued by punctuation is parted there, and long words and scripts without spaces are read in pieces too, so every character reaches some input. A text is cut into overlapping windows of ``WINDOW`` words, one every ``STRIDE``;
 two recurrent passes read each window, attention pools their states, and a logit comes out. All windows of the whole text count: a
 text's score is a logistic function of its highest window logit, the mean of its three highest and the mean window probability.
 
@@ -18,6 +19,7 @@ are ignored, whatever their names; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import string
 from collections import Counter
 from collections.abc import Iterator
@@ -40,6 +42,15 @@ EPOCHS, BATCH, RATE, SEED = 6, 48, 0.01, 7
 #: Spellings whose hashes a worker keeps; it forgets all of them beyond.
 MEMO = 150_000
 GRAMS = 8
+#: Characters of a word that its grams read whole, of a piece, and beyond which a part is taken for several words.
+READ, PIECE, MERGED = 10, 6, 20
+#: Letters of scripts that do not part words: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han.
+_SCRIPTS = "\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U000323af"
+_DENSE = re.compile(f"[{_SCRIPTS}]")
+#: Vowel signs and marks are no word characters for ``re``, but belong to their words, as apostrophes do.
+_MARKS = "'’\u0300-\u036f\u0900-\u0dff\u200c\u200d"
+_PARTS = re.compile(rf"(?:[^\W_]|[{_SCRIPTS}{_MARKS}])+")
+_WORD = re.compile(rf"[{re.escape(string.punctuation)}]*(?:(?![{_SCRIPTS}])(?:[^\W_]|[{_MARKS}])){{0,{READ}}}[{re.escape(string.punctuation)}]*")
 #: Inputs that tell evidence, and the folds of the training texts: a text is told the evidence of the other folds.
 FACTS, FOLDS = 4, 5
 #: Share of a training batch's spellings that are blanked, and what embeddings lose in a step, in units of the learning rate.
@@ -62,11 +73,33 @@ def grams(token: str) -> list[str]:
     return [f"={word}", f"<{word[:2]}", f"<{word[:3]}", f"<{word[:4]}", f"<{word[:5]}", f"<{word[:6]}", f"{word[-3:]}>", f"{word[-4:]}>"]
 
 
+def pieces(token: str) -> list[str]:
+    """The words of a token: its parts between punctuation; of a part too long for its grams to read whole, also pieces that
+    together hold all its characters, one at every character where the part has no word of its own."""
+    out = []
+    for part in _PARTS.findall(token):
+        bare = part.strip("'’")
+        if _DENSE.search(bare) or len(bare) > MERGED:
+            out += [bare[i : i + PIECE] for i in range(max(1, len(bare) - 1))]
+        elif bare:
+            out.append(bare)
+            if len(bare) > READ:
+                out += [bare[i : i + PIECE] for i in range(PIECE // 2, len(bare) - 4, PIECE // 2)]
+    return out or [token]
+
+
+def tokens(text: str) -> list[str]:
+    """The words of a text: what stands between white space, in pieces where that is more than a word."""
+    words = text.split()
+    odd = {w: pieces(w) for w in set(words) if not _WORD.fullmatch(w)}
+    return [x for w in words for x in odd.get(w, (w,))] if odd else words
+
+
 def common_grams(texts: list[str]) -> dict[str, int]:
     """Numbers from 1 for the grams that at least so many texts have. All others are number 0, whose embedding stays zero."""
     count: Counter[str] = Counter()
     for text in texts:
-        count.update({g for word in set(text.split()) for g in grams(word)})
+        count.update({g for word in set(tokens(text)) for g in grams(word)})
     least = max(LEAST_TEXTS, LEAST_SHARE * len(texts))
     return {g: i for i, g in enumerate(sorted(g for g, n in count.items() if n >= least), 1)}
 
@@ -116,7 +149,7 @@ def evidence(texts: list[str], labels: list[int], known: dict[str, int]) -> np.n
     """How far the shares of texts with a gram differ between the classes: their log odds over its standard error, 0 for unknown grams."""
     n = np.zeros((2, len(known) + 1))
     for text, label in zip(texts, labels, strict=True):
-        n[label, list({known[g] for word in set(text.split()) for g in grams(word) if g in known})] += 1
+        n[label, list({known[g] for word in set(tokens(text)) for g in grams(word) if g in known})] += 1
     of = np.bincount(labels, minlength=2)[:, None] + 1.0
     n += 0.5
     odds = np.log(n / (of - n))
@@ -234,7 +267,7 @@ def text_features(logits: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def cut(texts: list[str], vocabulary: Spellings) -> tuple[np.ndarray, np.ndarray]:
     """The windows of all texts, one after the other, and where each text's begin."""
-    parts = [windows(vocabulary.ids(t.split())) for t in texts]
+    parts = [windows(vocabulary.ids(tokens(t))) for t in texts]
     return np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts])[:-1]
 
 
@@ -242,7 +275,7 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = SEED) -
     """A model of labelled texts; ``prior`` is the share of label 1 outside the sample, which may hold another."""
     known = common_grams(texts)
     vocabulary, rng, w = Spellings(known), np.random.default_rng(seed), fresh(len(known), seed)
-    each = [windows(vocabulary.ids(t.split())) for t in texts]
+    each = [windows(vocabulary.ids(tokens(t))) for t in texts]
     rows, y = np.array(vocabulary.rows, np.int32), np.array(labels, np.float64)
     weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
     m, v, step = {k: np.zeros_like(a) for k, a in w.items()}, {k: np.zeros_like(a) for k, a in w.items()}, 0

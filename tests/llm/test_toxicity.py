@@ -69,6 +69,35 @@ def test_every_word_is_in_a_window():
         assert set(toxicity.windows(ids).reshape(-1)) - {0} == set(ids)
 
 
+def test_every_character_is_read():
+    def read(text):
+        return "".join(sorted({c for w in toxicity.tokens(text) for g in toxicity.grams(w)[1:] for c in g.strip("<>")}))
+
+    assert toxicity.tokens("It's a plain, (short) text!! -- 1,5|x") == ["It's", "a", "plain,", "(short)", "text!!", "--", "1", "5", "x"]
+    for n in range(1, 60):
+        letters = "".join(chr(0x4E00 + i) for i in range(n))
+        assert read(letters) == letters
+        latin = "".join(chr(0x3B1 + i) if i < 17 else chr(0x430 + i - 17) for i in range(min(n, 49)))
+        assert read(latin) == "".join(sorted(latin))
+    assert {"vile", "creep"} <= set(toxicity.tokens("some,vile_words-creep")) and {"<坏人", "<他是"} <= {g for w in toxicity.tokens("我们说他是一个坏人。今天") for g in toxicity.grams(w)}
+
+
+def test_toxic_words_count_in_unspaced_text():
+    rng = random.Random(8)
+    common = [chr(0x4E00 + i) + chr(0x4F00 + i) for i in range(60)]
+    texts, labels = [], []
+    for i in range(300):
+        words = rng.choices(common, k=rng.randint(20, 60))
+        if i % 3 == 0:
+            for _ in range(3):
+                words.insert(rng.randrange(5, len(words) - 5), "坏蛋")
+        texts.append("".join(words))
+        labels.append(int(i % 3 == 0))
+    model = toxicity.train(texts[:200], labels[:200], 0.33)
+    told = toxicity.scores(model.weights, texts[200:], toxicity.Spellings(model.known)) >= 0.5
+    assert np.mean(told == np.array(labels[200:], bool)) >= 0.95
+
+
 def test_held_out_accuracy(spark):
     texts, labels = corpus(600)
     docs = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)] + [(None, None, "", ""), (900, "", "", ""), (901, " la na " * 5000, "", "")], DOCS)
