@@ -178,6 +178,15 @@ def page_facts(html: str, base: str) -> tuple[str, list[dict], list[dict], str]:
     return title, metas, links, "\n".join(lines)
 
 
+def by_name(headers: Headers) -> dict[str, str | list[str]]:
+    """Headers by name, in whatever case: the value, or all values in order where a name is repeated, under its first spelling."""
+    spelt: dict[str, str] = {}
+    out: dict[str, list[str]] = {}
+    for name, value in headers:
+        out.setdefault(spelt.setdefault(name.lower(), name), []).append(value)
+    return {name: values if len(values) > 1 else values[0] for name, values in out.items()}
+
+
 def derive(headers: Headers, block: bytes) -> list[tuple[Headers, bytes, dict]]:
     """The metadata and the conversion record of a response, each with facts about it; none for other records."""
     source = find(headers, "WARC-Record-ID")
@@ -193,12 +202,12 @@ def derive(headers: Headers, block: bytes) -> list[tuple[Headers, bytes, dict]]:
             "WARC-Header-Length": sum(len(k.encode()) + len(v.encode()) + 4 for k, v in headers),
             "Block-Digest": find(headers, "WARC-Block-Digest") or sha1_base32(block),
             "Actual-Content-Length": len(block),
-            "WARC-Header-Metadata": dict(headers),
+            "WARC-Header-Metadata": by_name(headers),
             "Payload-Metadata": {
                 "Actual-Content-Type": find(headers, "Content-Type"),
                 "HTTP-Response-Metadata": {
                     "Response-Message": {"Version": version, "Status": status},
-                    "Headers": dict(http),
+                    "Headers": by_name(http),
                     "Entity-Length": len(payload),
                     "Entity-Digest": digest,
                     "HTML-Metadata": {"Head": {"Title": title, "Metas": metas}, "Links": links},

@@ -60,3 +60,12 @@ def test_other_encodings():
     (_, facts, _), (_, text, _) = warc.derive(headers, block)
     assert text.decode() == "café" and json.loads(facts)["Envelope"]["Payload-Metadata"]["HTTP-Response-Metadata"]["Response-Message"] == {"Version": "HTTP/1.0", "Status": "404 Gone"}
     assert warc.derive([("WARC-Type", "request"), ("WARC-Record-ID", "<x>")], block) == []
+
+
+def test_repeated_headers_are_kept():
+    headers = [("WARC-Type", "response"), ("WARC-Record-ID", "<x>"), ("WARC-Concurrent-To", "<a>"), ("WARC-Concurrent-To", "<b>")]
+    block = b"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nset-cookie: b=2\r\nContent-Type: text/html\r\n\r\n<p>x"
+    (_, facts, _), _ = warc.derive(headers, block)
+    told = json.loads(facts)["Envelope"]
+    assert told["WARC-Header-Metadata"] == {"WARC-Type": "response", "WARC-Record-ID": "<x>", "WARC-Concurrent-To": ["<a>", "<b>"]}
+    assert told["Payload-Metadata"]["HTTP-Response-Metadata"]["Headers"] == {"Set-Cookie": ["a=1", "b=2"], "Content-Type": "text/html"}
