@@ -31,6 +31,9 @@ from pyspark.sql import functions as F
 CHUNK, OVERLAP = 32768, 512
 #: Matches that end so near a chunk's end may come out otherwise with more text: contractions look two characters ahead.
 EDGE = 3
+#: Characters up to which a piece goes to the library whole. Its pattern matcher needs stack for each character of an endless run of white space
+#: and stops the process at about a million, so longer pieces are cut into pre-tokens here.
+WHOLE = 65536
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -53,8 +56,13 @@ class Codec:
         return [m.end() for m in self.pattern.finditer(text)]
 
     def encode(self, text: str) -> list[int]:
-        """The ids of a text that starts and ends at pre-token boundaries."""
-        return self.merges.encode_ordinary(text)
+        """The ids of a text that starts and ends at pre-token boundaries; it may be one pre-token of any length."""
+        if len(text) <= WHOLE:
+            return self.merges.encode_ordinary(text)
+        ids: list[int] = []
+        for m in self.pattern.finditer(text):
+            ids += self.merges._encode_single_piece(m[0])
+        return ids
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -90,7 +98,6 @@ def digest(ids: list[int]) -> str:
     return hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
 
 
-
 def encode_texts(docs: DataFrame, path: str, pattern: str, emit: Callable[[Codec, list[list[int]]], dict[str, pa.Array]], schema: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """doc_id of each row of ``docs`` and the columns that ``emit`` makes of its text's ids; ``schema`` names those columns."""
     text = F.coalesce(F.col("text"), F.lit(""))

@@ -50,6 +50,27 @@ def test_distributed_equals_the_library(spark, library):
     assert sorted(map(tuple, out), key=str) == sorted(map(expected, rows), key=str)
 
 
+ENDLESS = {"spaces": " " * 10**6 + "x", "lines": "\n" * 10**6 + "x", "letters": "a" * 10**6, "marks": "!" * 10**6, "combining": "e" + "\u0301" * 10**6, "digits": "7" * 10**6}
+
+
+def test_endless_pre_tokens(spark, library):
+    """A million characters of one pre-token, which the library's own matcher may not survive: each is merged by itself, as it is in short texts."""
+    rows = [(i, t, "", "") for i, t in enumerate(ENDLESS.values())]
+    found = {r["doc_id"]: r for r in bpe.encode_digests(spark.createDataFrame(rows, DOCS), PATH, public.PATTERN).collect()}
+    for i, t in enumerate(ENDLESS.values()):
+        pieces = [" " * (10**6 - 1), " x"] if t[0] == " " else ["\n" * (10**6 - 1), "\n", "x"] if t[0] == "\n" else ["e", "\u0301" * 10**6] if t[0] == "e" else [t]
+        ids = [x for p in pieces for x in library._encode_single_piece(p)]
+        assert (found[i]["n_tokens"], found[i]["ids_sha256"]) == (len(ids), bpe.digest(ids))
+        assert found[i]["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest()
+
+
+def test_a_piece_cut_here_equals_the_library(library):
+    codec = bpe.codec(PATH, public.PATTERN)
+    text = "".join(TEXTS) * 20
+    assert len(text) > bpe.WHOLE
+    assert codec.encode(text) == library.encode_ordinary(text)
+
+
 def test_round_trip_of_ids(spark):
     rows = [(i, t, "", "") for i, t in enumerate(TEXTS)]
     ids = bpe.encode_ids(spark.createDataFrame(rows, DOCS), PATH, public.PATTERN, chunk=100, overlap=8)
