@@ -30,6 +30,8 @@ CLOSED_BY = {
     "option": {"option"},
     "head": {"body"},
 }
+#: What a start tag closes, by its name.
+CLOSES = {name: tuple(k for k, names in CLOSED_BY.items() if name in names) for name in frozenset().union(*CLOSED_BY.values())}
 #: Elements that implied end tags do not reach beyond.
 SCOPE = frozenset("html body table td th ul ol dl div article section aside nav main header footer form blockquote fieldset".split())
 
@@ -104,9 +106,22 @@ class Node:
 
 
 def parse(html: str) -> Node:
-    """The page as a tree under a nameless root. Raw elements are leaves; comments and declarations are left out."""
+    """The page as a tree under a nameless root. Raw elements are leaves; comments and declarations are left out.
+
+    Open elements are known by name, so a tag costs the same however many are open.
+    """
     root = Node("", {})
     stack = [root]
+    places: dict[str, list[int]] = {}  # where the open elements of a name stand
+    scopes = [0]  # and those of SCOPE
+
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            name = stack.pop().name
+            places[name].pop()
+            if name in SCOPE:
+                scopes.pop()
+
     for kind, name, rest in events(html):
         if kind == "text":
             stack[-1].children.append(decode(name))
@@ -114,26 +129,19 @@ def parse(html: str) -> Node:
             if name in RAW_TEXT:
                 stack[-1].children.append(decode(rest))
         elif kind == "start":
-            for depth in range(len(stack) - 1, 0, -1):
-                open_name = stack[depth].name
-                if name in CLOSED_BY.get(open_name, ()):
-                    del stack[depth:]
-                    break
-                if open_name in SCOPE:
-                    break
+            if name in CLOSES:
+                depth = max((at[-1] for k in CLOSES[name] if (at := places.get(k))), default=0)
+                if depth and depth >= scopes[-1]:
+                    close(depth)
             node = Node(name, attributes(rest) if rest else {})
             stack[-1].children.append(node)
-            if name not in VOID and not rest.endswith("/"):
-                stack.append(node)
-            elif name not in VOID and name in BLOCK:
+            if name not in VOID and (name in BLOCK or not rest.endswith("/")):
+                places.setdefault(name, []).append(len(stack))
+                if name in SCOPE:
+                    scopes.append(len(stack))
                 stack.append(node)
-        else:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == name:
-                    del stack[depth:]
-                    break
-                if stack[depth].name in SCOPE and name not in SCOPE:
-                    break
+        elif (at := places.get(name)) and (name in SCOPE or at[-1] > scopes[-1]):
+            close(at[-1])
     return root
 
 
