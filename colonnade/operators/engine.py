@@ -5,14 +5,20 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
+from pyspark.core.rdd import _load_from_socket
 from pyspark.errors import PySparkException
+from pyspark.serializers import NoOpSerializer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .. import types
 from ..errors import QueryError, SchemaMismatchError, SettingError
@@ -159,13 +165,58 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.toDF(*(f"_{i}" for i in range(len(df.columns))))
 
 
+#: Partitions that are fetched in the first job and in any one, and bytes of results that a job should stay below.
+FIRST, FETCH, FETCH_BYTES = 4, 32, 1 << 28
+
+
+def _fetched(df: DataFrame) -> Iterator[list[bytes]]:
+    """The encoded batches of a result, some partitions at a time in partition order. Executors encode them, each job fetches several partitions, and the next
+    job runs while the last one's are delivered. How many depends on the sizes seen so far, so that the driver holds about twice FETCH_BYTES, or two partitions."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    encoded = df._jdf.toArrowBatchRdd().toJavaRDD()
+    n = encoded.getNumPartitions()
+
+    @inheritable_thread_target(spark)
+    def job(lo: int, hi: int) -> list[bytes]:
+        which = context._jvm.java.util.ArrayList()
+        for i in range(lo, hi):
+            which.add(i)
+        return list(_load_from_socket(context._jvm.PythonRDD.runJob(context._jsc.sc(), encoded, which), NoOpSerializer()))
+
+    with ThreadPoolExecutor(1) as one:
+        lo, hi, largest = 0, min(FIRST, n), 1
+        ahead = one.submit(job, lo, hi) if n else None
+        while ahead is not None:
+            try:
+                got = ahead.result()
+            except Exception as wrong:
+                if hi - lo == 1 or "maxResultSize" not in str(wrong):
+                    raise
+                largest, hi = FETCH_BYTES, lo + 1
+                ahead = one.submit(job, lo, hi)
+                continue
+            largest = max(largest, sum(map(len, got)) // (hi - lo))
+            lo, hi = hi, min(n, hi + max(1, min(FETCH, FETCH_BYTES // largest)))
+            ahead = one.submit(job, lo, hi) if lo < n else None
+            yield got
+
+
 def arrow_batches(df: DataFrame) -> Iterator[pa.RecordBatch]:
-    """The non-empty Arrow batches of a result, in partition order; the driver holds a partition at a time."""
-    for row in numbered(df).mapInArrow(_ipc, "ipc binary").toLocalIterator(prefetchPartitions=True):
-        with pa.ipc.open_stream(bytes(row["ipc"])) as stream:
-            for batch in stream:
-                if batch.num_rows:
-                    yield batch
+    """The non-empty Arrow batches of a result, in partition order; the driver holds a few partitions at a time."""
+    df = numbered(df)
+    if not hasattr(df, "_jdf"):  # a remote session, whose partitions come one by one
+        for row in df.mapInArrow(_ipc, "ipc binary").toLocalIterator(prefetchPartitions=True):
+            with pa.ipc.open_stream(bytes(row["ipc"])) as stream:
+                yield from (batch for batch in stream if batch.num_rows)
+        return
+    large = df.sparkSession.conf.get("spark.sql.execution.arrow.useLargeVarTypes", "false") == "true"
+    schema = to_arrow_schema(df.schema, prefers_large_types=large)
+    for got in _fetched(df):
+        for part in got:
+            batch = pa.ipc.read_record_batch(pa.py_buffer(part), schema)
+            if batch.num_rows:
+                yield batch
 
 
 class Engine:
@@ -181,7 +232,7 @@ class Engine:
         builder = SparkSession.builder.appName(options.app)
         if options.master:
             builder = builder.master(options.master)
-        for key, value in {"spark.sql.session.timeZone": "UTC", "spark.sql.mapKeyDedupPolicy": "LAST_WIN", "spark.sql.execution.arrow.maxRecordsPerBatch": str(options.block_rows), **options.config}.items():
+        for key, value in {"spark.sql.session.timeZone": "UTC", "spark.sql.mapKeyDedupPolicy": "LAST_WIN", **options.config}.items():
             builder = builder.config(key, value)
         spark = builder.getOrCreate()
         version = tuple(int(x) for x in re.findall(r"\d+", spark.version)[:2])
@@ -217,6 +268,8 @@ class Engine:
             yield
         except PySparkException as wrong:
             raise QueryError(f"query {query_id}: {wrong}", wrong.getCondition() or "", wrong.getSqlState() or "") from wrong
+        except Py4JJavaError as wrong:  # such as of a job that was cancelled
+            raise QueryError(f"query {query_id}: {wrong.java_exception.getMessage()}") from wrong
 
     @contextmanager
     def _set(self, settings: Sequence[Setting]) -> Iterator[None]:
@@ -243,15 +296,23 @@ class Engine:
     def _query(self, query_id: str, settings: Sequence[Setting]) -> Iterator[str]:
         query_id = query_id or str(uuid.uuid4())
         self.spark.addTag(query_id)
+        # The jobs that fetch results belong to no action of the session, so they bear the tag as jobs.
+        context = getattr(self.spark, "sparkContext", None) if hasattr(self.spark, "_jsparkSession") else None
+        if context is not None:
+            context.addJobTag(query_id)
         try:
-            with self._told(query_id), self._set(settings):
+            with self._told(query_id), self._set([Setting("max_block_size", str(self.options.block_rows)), *settings]):
                 yield query_id
         finally:
             self.spark.removeTag(query_id)
+            if context is not None:
+                context.removeJobTag(query_id)
 
     def cancel(self, query_id: str) -> None:
         """Stops the jobs of a query that runs in another thread."""
         self.spark.interruptTag(query_id)
+        if hasattr(self.spark, "_jsparkSession"):
+            self.spark.sparkContext.cancelJobsWithTag(query_id)
 
     def _text(self, body: str) -> str:
         return body if self.options.dialect == "spark" else sqlcompat.translate(body)

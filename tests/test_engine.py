@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
+import time
 import uuid
 from decimal import Decimal
 
@@ -139,6 +141,35 @@ def test_streams(engine):
     assert sum(b.rows for b in held) == 5
 
 
+def test_partitions_are_folded_together(engine):
+    def slow(held, a):
+        time.sleep(1.5)
+        return held + len(a)
+
+    stream.fold(engine, "SELECT number FROM numbers(4)", ["Int64"], 0, lambda held, a: held + len(a), lambda a, b: a + b)
+    began = time.monotonic()
+    assert stream.fold(engine, "SELECT /*+ REPARTITION(4) */ number FROM numbers(4)", ["Int64"], 0, slow, lambda a, b: a + b) == 4
+    assert time.monotonic() - began < 5
+
+
+@pytest.mark.parametrize("first, fetch, size", [(1, 1, 1 << 28), (2, 3, 1 << 28), (4, 32, 1)])
+def test_results_come_in_partition_order(engine, monkeypatch, first, fetch, size):
+    from colonnade.operators import engine as module
+
+    for name, value in (("FIRST", first), ("FETCH", fetch), ("FETCH_BYTES", size)):
+        monkeypatch.setattr(module, name, value)
+    found = []
+    stream.blocks_i64(engine, "SELECT id FROM range(0, 100000, 1, 9) SETTINGS max_block_size = 1000", lambda a: found.append(a))
+    assert np.array_equal(np.concatenate(found), np.arange(100000)) and max(map(len, found)) <= 1000
+    stream.blocks_i64(engine, "SELECT number FROM numbers(0)", lambda a: pytest.fail("no rows"))
+
+
+def test_a_running_query_is_cancelled(engine):
+    threading.Timer(2, lambda: engine.cancel("endless")).start()
+    with pytest.raises(QueryError):
+        engine.select(SelectQuery("SELECT count(*) AS n FROM range(10000000000) a JOIN range(100000) b ON a.id % 7 = b.id % 7", query_id="endless"))
+
+
 def test_drain(engine):
     ids, values = drain.IntoArray(np.zeros(12, np.int64)), drain.IntoArray(np.zeros(12))
     frontier = []
