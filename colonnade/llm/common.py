@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import atexit
 import gc
+import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,11 +18,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column's name as an expression, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def packed_row(names: Sequence[str]) -> Column:
+    """The named columns as one column ``row``, so that none of their names can clash with those an operator adds."""
+    return F.struct(*(F.col(quoted(c)) for c in names)).alias("row")
+
+
+def unpacked_row(names: Sequence[str]) -> list[Column]:
+    """The columns of ``row`` again."""
+    return [F.col(f"row.{quoted(c)}").alias(c) for c in names]
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or, where that is unset (tests), a new one."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where that is unset, a local session (as in tests) gets a new folder; any other
+    is an error, since executors would not see each other's files."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="colonnade-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="colonnade-"))
     return context.getCheckpointDir()
 
 

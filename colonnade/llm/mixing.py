@@ -22,6 +22,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed_row, unpacked_row
+
 DIMENSIONS = ("source", "lang", "topic")
 #: What the query and the pipeline use: a number is the power of the natural share (1 leaves it, 0 evens it out), a mapping names shares.
 TARGETS: dict[str, float | Mapping[str, float]] = {"source": 0.5, "lang": {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}, "topic": 0.8}
@@ -97,7 +99,7 @@ def mix(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TA
     own = [c for c in docs.columns if c not in ("topic", "tokens", "probability")]
     given = [] if topic is None else [topic.alias("topic")]
     # The row travels as one column, so that no name of its own can clash with those added here.
-    counted = docs.select(F.struct(*own).alias("row"), F.col("doc_id").alias("id"), "text", "source", "lang", token_count(F.col("text")).alias("tokens"), *given)
+    counted = docs.select(packed_row(own), F.col("doc_id").alias("id"), "text", "source", "lang", token_count(F.col("text")).alias("tokens"), *given)
     if topic is None:
         counted = counted.withColumn("topic", surface_topic(F.col("text"), F.col("tokens")))
     masses = counted.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("mass"))
@@ -108,7 +110,7 @@ def mix(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TA
     key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))))
     draw = F.conv(F.substring(F.md5(key.cast("binary")), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
     joined = counted.join(F.broadcast(cells), same).where(draw < F.col("probability"))
-    return joined.select(*(F.col(f"row.`{c}`").alias(c) for c in own), "topic", "tokens", "probability")
+    return joined.select(*unpacked_row(own), "topic", "tokens", "probability")
 
 
 def oracle(targets: Mapping[str, float | Mapping[str, float]] = TARGETS, sweeps: int = SWEEPS, seed: int = SEED, documents: str = "documents", columns: str = "doc_id, source, lang, topic, tokens, round(probability, 6) AS probability") -> str:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import skew_join, stored
+from .common import packed_row, quoted, skew_join, stored, unpacked_row
 from .suffix import repeated_starts
 
 LENGTH, GRAM = 200, 48
@@ -291,7 +291,7 @@ def remove_repeats(docs: DataFrame, emit: Callable[[list[bytes], list[tuple[byte
     """The columns ``keep`` of every row and those that ``emit`` makes of its text (bytes) and (rest, bytes removed, runs removed)."""
     spans = repeated_spans(docs, length, gram, crowd)
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body")
-    rows = docs.select(*keyed(docs, "doc_id", "text"), body, F.struct(*keep).alias("row"))
+    rows = docs.select(*keyed(docs, "doc_id", "text"), body, packed_row(keep))
     both = rows.join(spans, [*_KEYED], "left").select("row", "body", F.transform("spans", lambda x: x["a"]).alias("a"), F.transform("spans", lambda x: x["b"]).alias("b"))
     names = [x.split()[0] for x in schema.split(",")]
 
@@ -308,7 +308,7 @@ def remove_repeats(docs: DataFrame, emit: Callable[[list[bytes], list[tuple[byte
 
     kind = both.schema["row"].dataType.simpleString()
     out = both.mapInArrow(apply, f"row {kind}, {schema}")
-    return out.select(*(F.col(f"row.`{c}`").alias(c) for c in keep), *names)
+    return out.select(*unpacked_row(keep), *names)
 
 
 def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
@@ -335,4 +335,4 @@ def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int =
     out = remove_repeats(docs, emit, "rest string", keep, length, gram, crowd).toDF(*keep, "text")
     if "n_chars" in keep:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    return out.select(*map(quoted, docs.columns))

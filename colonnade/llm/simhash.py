@@ -25,15 +25,25 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, skew_join
+from .common import durable, packed_row, skew_join, unpacked_row
 from .components import components
 
 SHINGLE, SEED, BITS, BUCKET = 3, 42, 2, 32
 
 
+def bit_totals(hashes: np.ndarray) -> np.ndarray:
+    """How many hashes have each bit, from the lowest."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of some hashes, as a signed integer; 0 of none."""
+    return int(np.packbits(bit_totals(hashes) * 2 > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """The 64-bit fingerprint of a text, as a signed integer. Long texts are hashed piece by piece, whole."""
     words = text.lower().split()
@@ -45,8 +55,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     for at in range(0, n, 65536):
         part = words[at : at + 65536 + shingle - 1]
         grams = map(b" ".join, zip(*(part[i : len(part) - shingle + 1 + i] for i in range(shingle)), strict=True)) if len(words) >= shingle else [b" ".join(words)]
-        hashes = np.array([digest(g, seed) for g in grams], "<u8")
-        totals += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        totals += bit_totals(np.array([digest(g, seed) for g in grams], "<u8"))
     bits = np.packbits(totals * 2 > n, bitorder="little")
     return int(bits.view("<i8")[0])
 
@@ -83,17 +92,16 @@ def links(fps: DataFrame, bits: int = BITS, bucket: int = BUCKET) -> DataFrame:
         raise ValueError("bits must be 0, 1 or 2: beyond, hot variants would have no exact way but all pairs")
     segments = bits // 2 + 1
     distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    spread = fps.select("fp", F.inline(variants(F.col("fp"), segments)))
-    shared = Window.partitionBy("place", "rest")
-    met = spread.withColumn("n", F.count("*").over(shared)).where("n > 1")
-    met = durable(met)
-    few = met.where(F.col("n") <= bucket).select("place", "rest", "fp")
-    pairs = few.withColumnRenamed("fp", "a").join(few.withColumnRenamed("fp", "b"), ["place", "rest"]).where((F.col("a") < F.col("b")) & (distance <= bits)).select("a", "b")
+    # A variant is known by its hash: what falls together by chance is told apart by the distance.
+    spread = fps.select("fp", F.inline(variants(F.col("fp"), segments))).select("fp", F.xxhash64("place", "rest").alias("variant"))
+    met = durable(skew_join(spread, spread.groupBy("variant").agg(F.count("*").alias("n")).where("n > 1"), "variant"))
+    few = met.where(F.col("n") <= bucket).select("variant", "fp")
+    pairs = few.withColumnRenamed("fp", "a").join(few.withColumnRenamed("fp", "b"), "variant").where((F.col("a") < F.col("b")) & (distance <= bits)).select("a", "b")
     many = met.where(F.col("n") > bucket).select("fp").distinct()
     flips = F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63))) for b in range(64)))
     near = many.select("fp", F.explode(flips).alias("near"))
     if bits == 2:
-        more = near.withColumn("a", F.min("fp").over(Window.partitionBy("near"))).where(F.col("a") < F.col("fp")).select("a", F.col("fp").alias("b"))
+        more = skew_join(near, near.groupBy("near").agg(F.min("fp").alias("a")), "near").where(F.col("a") < F.col("fp")).select("a", F.col("fp").alias("b"))
     else:
         more = near.join(many.select(F.col("fp").alias("b")), F.col("near") == F.col("b")).where(F.col("fp") < F.col("b")).select(F.col("fp").alias("a"), "b").where(distance <= bits)
     return pairs.unionByName(more).distinct()
@@ -124,6 +132,5 @@ def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The chosen row of each root of ``groups`` (doc_id, t, root)."""
     chosen = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t")).alias("x"))
     chosen = chosen.select(F.coalesce("x.doc_id", F.lit(0)).alias("id"), F.col("x.t").alias("t"))
-    row = F.struct(*docs.columns).alias("row")
-    marked = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))).alias("t"), row)
-    return marked.join(chosen, ["id", "t"], "left_semi").dropDuplicates(["id", "t"]).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    marked = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit(""))).alias("t"), packed_row(docs.columns))
+    return marked.join(chosen, ["id", "t"], "left_semi").dropDuplicates(["id", "t"]).select(*unpacked_row(docs.columns))

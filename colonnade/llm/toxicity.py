@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import packed_row, unpacked_row
+
 WINDOW, STRIDE = 32, 24
 #: Labelled rows of either class, and bytes of a text, for training.
 SAMPLE, SAMPLE_BYTES = 1200, 6000
@@ -369,7 +371,7 @@ def scored_rows(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...], model
     """row (a struct of the columns ``keep``) and score of every row."""
     model = model or learn(docs, labels)
     if model is None:
-        return docs.select(F.struct(*keep).alias("row"), F.lit(0.0).alias("score"))
+        return docs.select(packed_row(keep), F.lit(0.0).alias("score"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Spellings(model.known)
@@ -384,7 +386,7 @@ def scored_rows(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...], model
                 at = stop
 
     inside = "text" in keep  # then the text travels once
-    given = docs.select(F.struct(*keep).alias("row"), *(() if inside else ("text",)))
+    given = docs.select(packed_row(keep), *(() if inside else ("text",)))
     return given.mapInArrow(run, T.StructType([T.StructField("row", given.schema["row"].dataType), T.StructField("score", T.DoubleType())]))
 
 
@@ -397,4 +399,4 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, mode
 def clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, model: Model | None = None) -> DataFrame:
     """The rows whose score is below the threshold, with all their columns."""
     told = scored_rows(docs, labels, tuple(docs.columns), model).where(F.col("score") < threshold)
-    return told.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    return told.select(*unpacked_row(docs.columns))

@@ -41,6 +41,49 @@ def test_stage_finds_all_pairs_of_the_bound(spark):
     assert kept == {i for i, r in enumerate(roots) if r == i} and len(kept) < len(texts) - 100
 
 
+def test_a_star_of_copies_and_copies_of_copies(spark):
+    """Copies of one text with so many changes that most are like the text or nothing, versions of it with copies of their own, cut and lengthened ones."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(500)]
+    base = rng.choices(words, k=150)
+
+    def changed(text, n):
+        out = list(text)
+        for _ in range(n):
+            at = rng.randrange(len(out))
+            kind = rng.randrange(3)
+            out[at : at + (kind != 1)] = [] if kind == 2 else [f"n{rng.randrange(10**6)}"]
+        return out
+
+    version = changed(base, 6)
+    texts = [changed(base, rng.randint(1, 7)) for _ in range(160)] + [changed(version, rng.randint(1, 5)) for _ in range(100)]
+    texts += [base[: rng.randint(90, 150)] for _ in range(30)] + [base + rng.choices(words, k=rng.randint(1, 60)) for _ in range(30)]
+    rng.shuffle(texts)
+    texts = [" ".join(t) for t in texts]
+    roots = brute_roots(texts)
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS).repartition(4)
+    kept = {r["doc_id"] for r in nearcopies.representatives(docs).collect()}
+    assert kept == {i for i, r in enumerate(roots) if r == i} and 20 < len(kept) < 250
+
+
+def test_overlap_of_differences_decides():
+    rng = nearcopies.np.random.default_rng(3)
+    c = 0.2 / 1.8
+    for _ in range(300):
+        hub, x, y = (nearcopies.np.unique(rng.integers(0, 60, rng.integers(1, 60))).astype("<u8") for _ in range(3))
+        (dx, gx, bound), (dy, gy, _) = (nearcopies.difference(z.tobytes(), hub.tobytes(), 0.8) for z in (x, y))
+        like = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b))
+        if abs(like(x, y) - 0.8) > 1e-9:
+            assert (like(x, y) >= 0.8) == (len(set(dx) & set(dy)) >= (gx + gy) / 2)
+        if abs(like(x, hub) - 0.8) > 1e-9:
+            assert (like(x, hub) >= 0.8) == (gx <= bound) and abs(bound - c * len(hub)) < 1e-9
+
+
+def test_any_column_name_rides_along(spark):
+    docs = spark.createDataFrame([(1, "a b", 2, 3, 4), (2, "a b", 5, 6, 7), (None, None, 8, 9, 10)], "doc_id long, text string, `a.b` int, `row` int, `t``x` int")
+    assert sorted(map(tuple, nearcopies.representatives(docs).collect()), key=str) == [(1, "a b", 2, 3, 4), (None, None, 8, 9, 10)]
+
+
 def test_the_bound_is_verified():
     pack = lambda *x: nearcopies.np.array(x, "<u8").tobytes()
     assert nearcopies.alike(pack(1, 2, 3, 4), pack(1, 2, 3, 4, 5), 0.8) and not nearcopies.alike(pack(1, 2, 3, 4), pack(1, 2, 3, 5), 0.8)
