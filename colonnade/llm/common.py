@@ -51,8 +51,9 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as a table in the shared folder and read again; more compact than ``durable`` for large tables.
+def stored(df: DataFrame, clean: bool = True) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again; more compact than ``durable`` for large tables, and of a size that Spark knows: what it
+    thinks of the sizes of joins would multiply from round to round.
 
     The step's shuffle files are of no use once its table is there, so the cleaner is told to look for them. The table goes
     when the program ends.
@@ -62,7 +63,8 @@ def stored(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
     out = spark.read.schema(df.schema).parquet(path)
-    release(spark)
+    if clean:
+        release(spark)
     return out
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, skew_join
+from .common import skew_join, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -32,14 +32,14 @@ def components(edges: DataFrame) -> DataFrame:
 
     Loops and repeated edges are of no consequence; edges with a null end are ignored; no edges give no rows.
     """
-    now = durable(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    now = stored(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), clean=False)
 
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
     seen = state(now)
     while seen[0]:
-        after = durable(_small_star(_large_star(now)))
+        after = stored(_small_star(_large_star(now)), clean=False)
         told = state(after)
         now = after
         if told == seen:

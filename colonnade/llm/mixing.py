@@ -1,36 +1,50 @@
 """Mixing sources to target weights: iterative proportional fitting, then sampling by calibrated probabilities.
 
-Token masses are summed per (source, language, topic) cell; raking scales the cells until the three marginals meet their
-targets; a cell's factor is its raked share over its natural share, and a document stays with the probability factor / largest
-factor, so the expected token mass of what stays has the raked marginals exactly and no probability is cut off at one.
+Token masses are summed per (source, language, topic) cell. Every level of a dimension has a target: its share of the tokens that are to stay, which are the share
+``KEEP`` of all. A cell's probability is the product of three factors, one for each of its levels, and 1 at most; raking goes round the
+dimensions and scales each level's factor by its target over what would stay of it, until the three marginals meet their targets. What
+cannot meet its target is kept whole (its factor grows until its cells are at 1), and the rest is raked around it; so a rare source, however far
+from its target, thins no other. A document stays with its cell's probability.
 
-Everything is DataFrame and SQL expressions. The cells - at most sources x languages x topics, however many documents there are
-- are raked as one row of arrays by higher-order functions, with index lists so that a sweep costs time in proportion to the cells. Documents
-are read twice and meet the cells in a broadcast join bounded by their number; nothing else is shuffled.
+Everything is DataFrame and SQL expressions, one plan for all sizes: cells and factors are tables; a step sums the cells of each level, in
+parts first, and writes the factors of one dimension. Factors and cells meet by broadcast where they have ``SMALL`` rows at most, which is counted, and otherwise in
+a join that is dealt by the level and splits hot ones. Documents are read twice; nothing of them is shuffled as long as the cells are few.
+
+``SWEEPS`` sweeps are made. How far the marginals then are from their targets is measured, and a warning says so if it is over ``TOLERANCE`` of what stays.
 
 Defined results: null is a level of its own in each dimension; a null or empty text counts as one token, as does any text
 without words; a document without an id draws by its text instead; rows with the same id are kept or dropped together;
 an empty table gives an empty result; other columns ride along untouched, and names that clash with those added here are replaced.
 Levels that targets do not name share what the named ones leave, in their natural proportions; where these leave nothing, levels
-without a name keep their natural shares and the named ones share the rest in proportion. Levels with a target of 0 get nothing.
+without a name keep their natural shares and the named ones share the rest in proportion. Levels with a target of 0 get nothing, and where all targets of a dimension
+are 0 nothing stays.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed_row, unpacked_row
+from .common import durable, packed_row, skew_join, stored, unpacked_row
 
 DIMENSIONS = ("source", "lang", "topic")
 #: What the query and the pipeline use: a number is the power of the natural share (1 leaves it, 0 evens it out), a mapping names shares.
 TARGETS: dict[str, float | Mapping[str, float]] = {"source": 0.5, "lang": {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}, "topic": 0.8}
-SWEEPS = 30
+#: Share of all tokens that the targets divide.
+KEEP = 0.5
+SWEEPS, TOLERANCE = 12, 0.02
 SEED = 20
 #: Named targets that leave less than this leave nothing.
 LEFT = 1e-9
+#: The largest factor: that of levels that are whole long since.
+MOST = 1e30
+#: Rows (a few names and numbers each) up to which a table of cells or levels is broadcast.
+SMALL = 50_000
+#: Cells that one task rakes.
+PART = 100_000
 #: Words, as the token count of a document. The class is spelt out since engines differ in what \s covers.
 WORDS = r"[^ \t\n\r]+"
 
@@ -56,64 +70,104 @@ def surface_topic(text: Column, tokens: Column) -> Column:
     )
 
 
-def _target(dim: str, rule: float | Mapping[str, float]) -> str:
-    """SQL for the target shares of a dimension's levels; ``own`` are their natural shares."""
+def level(name: str) -> Column:
+    """A level as a text that is never null: names begin with a mark that null lacks."""
+    return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit(""))
+
+
+def met(left: DataFrame, right: DataFrame, key: str, rows: int) -> DataFrame:
+    """left join right on a key of which right has ``rows`` rows."""
+    return left.join(F.broadcast(right), key) if rows <= SMALL else skew_join(left, right, key)
+
+
+def goals(cells: DataFrame, dim: str, rule: float | Mapping[str, float], total: int) -> DataFrame:
+    """key, mass and target share of every level of a dimension."""
+    levels = cells.groupBy(dim).agg(F.sum("mass").alias("mass")).withColumn("own", F.col("mass") / F.lit(float(total)))
     if isinstance(rule, Mapping):
-        named = "map(" + ", ".join(f"'{k}', {float(v)!r}D" for k, v in rule.items()) + ")" if rule else "map('', 0D)"
-        known = f"transform(lv_{dim}, v -> if(v is null, null, try_element_at({named}, v)))"
-        given = f"aggregate({known}, 0D, (a, x) -> a + coalesce(x, 0D))"
-        loose = f"aggregate(zip_with({known}, own_{dim}, (x, o) -> if(x is null, o, 0D)), 0D, (a, x) -> a + x)"
-        # Where the named levels would leave the others nothing, these keep their natural shares and the named ones share the rest.
-        whole = f"if(x is null, o, x * (1D - {loose}) / {given})"
-        raw = f"zip_with({known}, own_{dim}, (x, o) -> if({given} > {1 - LEFT!r}D and {loose} > 0D, {whole}, coalesce(x, (1D - {given}) * o / {loose})))"
+        known = F.lit(None).cast("double")
+        for name, share in rule.items():
+            known = F.when(F.col(dim) == "=" + name, F.lit(float(share))).otherwise(known)
+        levels = durable(levels.withColumn("known", known))
+        given, loose = levels.agg(F.coalesce(F.sum("known"), F.lit(0.0)), F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("own"))), F.lit(0.0))).first()
+        if given > 1 - LEFT and loose > 0:
+            share = F.coalesce(F.col("known") * F.lit((1 - loose) / given), F.col("own"))
+        else:
+            share = F.coalesce(F.col("known"), F.col("own") * F.lit(max(1 - given, 0.0) / loose if loose else 0.0))
     else:
-        raw = f"transform(own_{dim}, o -> pow(o, {float(rule)!r}D))"
-    return f"transform({raw}, x -> x / aggregate({raw}, 0D, (a, y) -> a + y))"
+        share = F.pow("own", F.lit(float(rule)))
+    levels = durable(levels.withColumn("share", share))
+    whole = levels.agg(F.sum("share")).first()[0]
+    return levels.select(dim, "mass", (F.col("share") / F.lit(whole) if whole else F.lit(0.0)).alias("share"))
+
+
+def probabilities(masses: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, keep: float = KEEP, sweeps: int = SWEEPS) -> DataFrame:
+    """Rakes cells (source, lang, topic as ``level`` has them, mass): adds the probability."""
+    cells = durable(masses)
+    count, total = cells.agg(F.count("*"), F.sum("mass")).first()
+    if not count:
+        return cells.withColumn("probability", F.lit(0.0))
+    cells = cells.coalesce(-(-count // PART))
+    factors: dict[str, DataFrame] = {}
+    sizes: dict[str, int] = {}
+    for d in DIMENSIONS:
+        goal = durable(goals(cells, d, targets[d], total))
+        sizes[d] = goal.count()
+        first = F.lit(float(keep) if d == DIMENSIONS[0] else 1.0)
+        factors[d] = goal.select(d, "mass", (F.col("share") * F.lit(keep * float(total))).alias(f"goal_{d}"), first.alias(f"f_{d}"))
+    chance = F.least(F.lit(1.0), F.col("f_source") * F.col("f_lang") * F.col("f_topic"))
+
+    def weighted() -> DataFrame:
+        out = cells
+        for d in DIMENSIONS:
+            out = met(out, factors[d].select(d, f"f_{d}"), d, sizes[d])
+        return out
 
+    def sums(d: str) -> DataFrame:
+        return weighted().groupBy(d).agg(F.sum(F.col("mass") * chance).alias("stays"))
 
-def raked_cells(masses: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, sweeps: int = SWEEPS) -> DataFrame:
-    """Rakes cells (source, lang, topic, mass) to the targets: adds raked (share) and probability."""
-    one = masses.agg(F.sort_array(F.collect_list(F.struct(*DIMENSIONS, F.col("mass").cast("double").alias("mass")))).alias("c")).where("size(c) > 0")
-    one = one.withColumn("total", F.expr("aggregate(c, 0D, (a, x) -> a + x.mass)")).withColumn("ix", F.expr("sequence(0, size(c) - 1)"))
-    for d in DIMENSIONS:
-        one = one.withColumn(f"lv_{d}", F.expr(f"sort_array(array_distinct(transform(c, x -> x.{d})))"))
-        one = one.withColumn(f"in_{d}", F.expr(f"transform(lv_{d}, v -> filter(ix, i -> c[i].{d} <=> v))"))
-        one = one.withColumn(f"back_{d}", F.expr(f"transform(array_sort(transform(flatten(in_{d}), (i, p) -> struct(i, p))), x -> x.p)"))
-        one = one.withColumn(f"own_{d}", F.expr(f"transform(in_{d}, g -> aggregate(g, 0D, (a, i) -> a + c[i].mass) / total)"))
-        one = one.withColumn(f"to_{d}", F.expr(_target(d, targets[d])))
-    state = "transform(c, x -> x.mass / total)"
-    step = "w"
-    for d in DIMENSIONS:
-        # One step as a fold over a one-element array, which binds the weights so far to a name.
-        sums = f"transform(in_{d}, g -> aggregate(g, 0D, (a, i) -> a + w[i]))"
-        scaled = f"flatten(zip_with(in_{d}, zip_with({sums}, to_{d}, (s, t) -> coalesce(try_divide(t, s), 0D)), (g, f) -> transform(g, i -> w[i] * f)))"
-        step = f"aggregate(array({step}), array(0D), (z, w) -> aggregate(array({scaled}), array(0D), (y, f) -> transform(back_{d}, p -> f[p])))"
-    one = one.withColumn("w", F.expr(f"aggregate(sequence(1, {sweeps}), {state}, (w, n) -> {step})"))
-    factor = one.withColumn("f", F.expr("zip_with(w, c, (x, y) -> x * total / y.mass)"))
-    rows = factor.select(F.expr("array_max(f)").alias("top"), F.explode(F.expr("transform(ix, i -> struct(c[i] as c, w[i] as raked, f[i] as f))")).alias("x"))
-    return rows.select(*(F.col(f"x.c.{d}").alias(d) for d in DIMENSIONS), F.col("x.c.mass").cast("long").alias("mass"), F.col("x.raked").alias("raked"), (F.col("x.f") / F.col("top")).alias("probability"))
+    for _ in range(sweeps):
+        for d in DIMENSIONS:
+            scaled = F.least(F.lit(MOST), F.coalesce(F.try_divide(F.col(f"f_{d}") * F.col(f"goal_{d}"), F.col("stays")), F.lit(0.0)))
+            factors[d] = stored(met(sums(d), factors[d], d, sizes[d]).select(d, "mass", f"goal_{d}", scaled.alias(f"f_{d}")), clean=False)
+    # Levels that are not whole should have met their targets.
+    off = [met(sums(d), factors[d], d, sizes[d]).where("stays < mass * (1 - 1e-9)").agg(F.max(F.abs(F.col("stays") - F.col(f"goal_{d}")))).first()[0] or 0.0 for d in DIMENSIONS]
+    if max(off) > TOLERANCE * keep * total:
+        warnings.warn(f"after {sweeps} sweeps a marginal is off by {max(off) / (keep * total):.3f} of what stays", stacklevel=2)
+    return durable(weighted().select(*DIMENSIONS, "mass", chance.alias("probability")))
 
 
-def mix(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, topic: Column | None = None, sweeps: int = SWEEPS, seed: int = SEED) -> DataFrame:
-    """The sampled rows of ``docs`` (doc_id, text, source, lang and others) with topic, tokens and probability."""
-    own = [c for c in docs.columns if c not in ("topic", "tokens", "probability")]
+def sampled(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, topic: Column | None = None, keep: float = KEEP, sweeps: int = SWEEPS, seed: int = SEED) -> DataFrame:
+    """The sampled rows of ``docs`` (doc_id, text, source, lang and others) as a column row, with their topic, tokens and probability."""
     given = [] if topic is None else [topic.alias("topic")]
     # The row travels as one column, so that no name of its own can clash with those added here.
-    counted = docs.select(packed_row(own), F.col("doc_id").alias("id"), "text", "source", "lang", token_count(F.col("text")).alias("tokens"), *given)
+    counted = docs.select(packed_row(docs.columns), F.col("doc_id").alias("id"), "text", *(level(d).alias(d) for d in ("source", "lang")), token_count(F.col("text")).alias("tokens"), *given)
     if topic is None:
         counted = counted.withColumn("topic", surface_topic(F.col("text"), F.col("tokens")))
-    masses = counted.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("mass"))
-    cells = raked_cells(masses, targets, sweeps).select(*(F.col(d).alias(f"cell_{d}") for d in DIMENSIONS), "probability")
-    same = F.lit(True)
-    for d in DIMENSIONS:
-        same = same & F.col(d).eqNullSafe(F.col(f"cell_{d}"))
+    counted = counted.withColumn("kind", F.col("topic")).withColumn("topic", level("topic"))
+    cells = probabilities(counted.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("mass")), targets, keep, sweeps)
+    cells = cells.where("probability > 0").select(*DIMENSIONS, "probability")
     key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))))
     draw = F.conv(F.substring(F.md5(key.cast("binary")), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
-    joined = counted.join(F.broadcast(cells), same).where(draw < F.col("probability"))
-    return joined.select(*unpacked_row(own), "topic", "tokens", "probability")
+    if cells.count() <= SMALL:
+        joined = counted.join(F.broadcast(cells), [*DIMENSIONS])
+    else:
+        cell = F.struct(*DIMENSIONS).alias("cell")
+        joined = skew_join(counted.withColumn("cell", cell), cells.select(cell, "probability"), "cell")
+    return joined.where(draw < F.col("probability")).select("row", F.col("kind").alias("topic"), "tokens", "probability")
+
+
+def mix(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, topic: Column | None = None, keep: float = KEEP, sweeps: int = SWEEPS, seed: int = SEED) -> DataFrame:
+    """The sampled rows of ``docs`` (doc_id, text, source, lang and others) with topic, tokens and probability."""
+    own = [c for c in docs.columns if c not in ("topic", "tokens", "probability")]
+    return sampled(docs, targets, topic, keep, sweeps, seed).select(*unpacked_row(own), "topic", "tokens", "probability")
+
+
+def rows_of_mix(docs: DataFrame) -> DataFrame:
+    """The sampled rows of ``docs`` as they are, with all their columns and no others."""
+    return sampled(docs).select(*unpacked_row(docs.columns))
 
 
-def oracle(targets: Mapping[str, float | Mapping[str, float]] = TARGETS, sweeps: int = SWEEPS, seed: int = SEED, documents: str = "documents", columns: str = "doc_id, source, lang, topic, tokens, round(probability, 6) AS probability") -> str:
+def oracle(targets: Mapping[str, float | Mapping[str, float]] = TARGETS, keep: float = KEEP, sweeps: int = SWEEPS, seed: int = SEED, documents: str = "documents", columns: str = "doc_id, source, lang, topic, tokens, round(probability, 6) AS probability") -> str:
     """DuckDB SQL for ``mix``: the sweeps spelt out one after the other as window sums."""
     marks = lambda mark: f"coalesce(strlen(text) - strlen(replace(text, '{mark}', '')), 0)"
     ctes = [
@@ -121,25 +175,27 @@ def oracle(targets: Mapping[str, float | Mapping[str, float]] = TARGETS, sweeps:
         f"""topical AS (SELECT *, CASE WHEN {marks("|")} * 10 > tokens THEN 'table' WHEN {marks("%%%")} * 10 > tokens THEN 'markup'
  WHEN {marks("!!")} * 4 > tokens THEN 'shout' WHEN tokens < 100 THEN 'note' WHEN tokens < 1000 THEN 'article' ELSE 'essay' END AS topic FROM counted)""",
         "masses AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS mass FROM topical GROUP BY ALL)",
-        "w0 AS (SELECT *, mass / sum(mass) OVER () AS w FROM masses)",
+        "shares AS (SELECT *, mass / sum(mass) OVER () AS w FROM masses)",
     ]
     for d in DIMENSIONS:
-        ctes.append(f"own_{d} AS (SELECT {d}, sum(w) AS own FROM w0 GROUP BY {d})")
+        ctes.append(f"own_{d} AS (SELECT {d}, sum(w) AS own FROM shares GROUP BY {d})")
         if isinstance(rule := targets[d], Mapping):
-            named = "CASE " + " ".join(f"WHEN {d} = '{k}' THEN {float(v)!r}::DOUBLE" for k, v in rule.items()) + " END"
+            named = "CASE " + " ".join(f"WHEN {d} = '{k}' THEN {float(v)!r}::DOUBLE" for k, v in rule.items()) + " END" if rule else "NULL::DOUBLE"
             ctes.append(f"named_{d} AS (SELECT *, {named} AS known FROM own_{d})")
+            ctes.append(f"left_{d} AS (SELECT *, coalesce(sum(known) OVER (), 0) AS given, coalesce(sum(CASE WHEN known IS NULL THEN own END) OVER (), 0) AS loose FROM named_{d})")
             ctes.append(
-                f"raw_{d} AS (SELECT {d}, coalesce(known, greatest(1 - sum(coalesce(known, 0)) OVER (), 0) * own / sum(CASE WHEN known IS NULL THEN own ELSE 0 END) OVER ()) AS raw FROM named_{d})"
+                f"raw_{d} AS (SELECT {d}, CASE WHEN given > {1 - LEFT!r} AND loose > 0 THEN coalesce(known * (1 - loose) / given, own) ELSE coalesce(known, own * greatest(1 - given, 0) / loose) END AS raw FROM left_{d})"
             )
         else:
             ctes.append(f"raw_{d} AS (SELECT {d}, pow(own, {float(rule)!r}) AS raw FROM own_{d})")
         ctes.append(f"to_{d} AS (SELECT {d}, raw / sum(raw) OVER () AS t FROM raw_{d})")
-    ctes.append("k AS (SELECT w0.*, " + ", ".join(f"to_{d}.t AS t_{d}" for d in DIMENSIONS) + " FROM w0 " + " ".join(f"JOIN to_{d} ON w0.{d} IS NOT DISTINCT FROM to_{d}.{d}" for d in DIMENSIONS) + ")")
-    last = "k"
+    start = ", ".join(f"to_{d}.t * {keep!r} * sum(mass) OVER () AS t_{d}, {keep if d == DIMENSIONS[0] else 1.0!r}::DOUBLE AS f_{d}" for d in DIMENSIONS)
+    ctes.append(f"k AS (SELECT shares.*, {start} FROM shares " + " ".join(f"JOIN to_{d} ON shares.{d} IS NOT DISTINCT FROM to_{d}.{d}" for d in DIMENSIONS) + ")")
+    last, chance = "k", "least(1, f_source * f_lang * f_topic)"
     for i in range(sweeps):
         for d in DIMENSIONS:
-            ctes.append(f"k{i}_{d} AS MATERIALIZED (SELECT * REPLACE (w * t_{d} / sum(w) OVER (PARTITION BY {d}) AS w) FROM {last})")
+            ctes.append(f"k{i}_{d} AS MATERIALIZED (SELECT * REPLACE (least({MOST!r}, coalesce(f_{d} * t_{d} / nullif(sum(mass * {chance}) OVER (PARTITION BY {d}), 0), 0)) AS f_{d}) FROM {last})")
             last = f"k{i}_{d}"
-    ctes.append(f"cells AS (SELECT source, lang, topic, (w / mass) / max(w / mass) OVER () AS probability FROM {last})")
+    ctes.append(f"cells AS (SELECT source, lang, topic, {chance} AS probability FROM {last})")
     draw = f"('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 12))::BIGINT / {float(16**12)!r}"
     return "WITH " + ",\n".join(ctes) + f"\nSELECT {columns} FROM topical t JOIN cells c ON t.source IS NOT DISTINCT FROM c.source AND t.lang IS NOT DISTINCT FROM c.lang AND t.topic IS NOT DISTINCT FROM c.topic WHERE {draw} < probability".replace("SELECT doc_id, source, lang, topic,", "SELECT t.doc_id, t.source, t.lang, t.topic,")

@@ -34,27 +34,69 @@ def test_mixing_against_sql(spark):
     assert sorted(((*r[:5], round(r[5], 6)) for r in map(tuple, got)), key=str) == sorted(expected, key=str)
 
 
+CELLS = "source string, lang string, topic string, mass long"
+
+
+def raked(spark, cells, targets, keep=0.5, sweeps=15):
+    marked = [(*("" if x is None else f"={x}" for x in c[:3]), c[3]) for c in cells]
+    return mixing.probabilities(spark.createDataFrame(marked, CELLS), targets, keep, sweeps).collect()
+
+
+def stays(rows, d):
+    return {v: sum(r["mass"] * r["probability"] for r in rows if r[d] == v) for v in {r[d] for r in rows}}
+
+
 def test_raked_cells_meet_the_targets(spark):
     rng = random.Random(2)
-    cells = [(s, g, t, rng.randint(1, 1000)) for s in "abc" for g in ("en", None) for t in ("x", "y")]
-    targets = {"source": {"a": 0.7, "b": 0.2}, "lang": 0.0, "topic": 1.0}
-    rows = mixing.raked_cells(spark.createDataFrame(cells, "source string, lang string, topic string, mass long"), targets, 60).collect()
-    share = lambda d: {v: sum(r["raked"] for r in rows if r[d] == v) for v in {r[d] for r in rows}}
-    assert share("source") == pytest.approx({"a": 0.7, "b": 0.2, "c": 0.1}) and share("lang") == pytest.approx({"en": 0.5, None: 0.5})
-    assert max(r["probability"] for r in rows) == 1 and all(r["probability"] == pytest.approx(r["raked"] / r["mass"] / max(x["raked"] / x["mass"] for x in rows)) for r in rows)
+    cells = [(s, g, t, rng.randint(500, 1000)) for s in "abc" for g in ("en", None) for t in ("x", "y")]
+    total = sum(c[3] for c in cells)
+    rows = raked(spark, cells, {"source": {"a": 0.7, "b": 0.2}, "lang": 0.0, "topic": 1.0}, keep=0.2)
+    assert stays(rows, "source") == pytest.approx({"=a": 0.14 * total, "=b": 0.04 * total, "=c": 0.02 * total}, rel=1e-4)
+    assert stays(rows, "lang") == pytest.approx({"=en": 0.1 * total, "": 0.1 * total}, rel=1e-4) and max(r["probability"] for r in rows) < 1
+
+
+def test_what_cannot_meet_its_target_stays_whole_and_thins_no_other(spark):
+    cells = [(s, g, "x", 1000) for s in "abc" for g in ("en", "de")]
+    before = stays(raked(spark, cells, {"source": 0.5, "lang": 0.5, "topic": 0.8}), "source")
+    rows = raked(spark, [*cells, ("rare", "en", "x", 3), (None, "fr", "x", 1)], {"source": 0.5, "lang": 0.5, "topic": 0.8})
+    assert all(r["probability"] == 1 for r in rows if r["source"] in ("=rare", ""))
+    assert all(0.9 * n < stays(rows, "source")[s] < n for s, n in before.items())
 
 
 def test_levels_without_a_name_keep_a_share(spark):
     cells = [(s, g, "x", m) for s in "ab" for g, m in (("en", 400), ("de", 100), ("fr", 50), ("es", 50), ("it", 100), (None, 300))]
-    schema = "source string, lang string, topic string, mass long"
-    rows = mixing.raked_cells(spark.createDataFrame(cells, schema)).collect()
-    share = {g: sum(r["raked"] for r in rows if r["lang"] == g) for g in {r["lang"] for r in rows}}
-    assert share == pytest.approx({"it": 0.1, None: 0.3, "en": 0.3, "de": 0.12, "fr": 0.12, "es": 0.06}) and min(r["probability"] for r in rows) > 0
-    none = mixing.raked_cells(spark.createDataFrame(cells, schema), {**mixing.TARGETS, "lang": {"en": 1.0, "de": 0.0}}).where("lang = 'de'").collect()
-    assert [r["probability"] for r in none] == [0, 0]
+    rows = raked(spark, cells, mixing.TARGETS, keep=0.2)
+    assert stays(rows, "lang") == pytest.approx({"=it": 40, "": 120, "=en": 120, "=de": 48, "=fr": 48, "=es": 24}, rel=1e-4)
+    for lang in ({"en": 1.0, "de": 0.0, "fr": 0.0, "es": 0.0, "it": 0.0}, {"en": 0.0, "de": 0.0}):
+        rows = raked(spark, cells, {**mixing.TARGETS, "lang": lang}, keep=0.2, sweeps=3)
+        assert all(r["probability"] == 0 for r in rows if lang.get(r["lang"][1:]) == 0.0) and sum(r["probability"] for r in rows) > 0
+    assert {r["probability"] for r in raked(spark, cells, {**mixing.TARGETS, "lang": {g or "": 0.0 for _, g, _, _ in cells} | {"en": 0.0}}, sweeps=2) if r["lang"] != ""} == {0}
     rows = [(i, f"w {i}", "s", ["en", "de", "fr", "es", "it", None][i % 6], 3, "", "", "") for i in range(600)]
-    kept = mixing.mix(spark.createDataFrame(rows, DOCS)).collect()
-    assert {r["lang"] for r in kept} == {"en", "de", "fr", "es", "it", None}
+    assert {r["lang"] for r in mixing.mix(spark.createDataFrame(rows, DOCS)).collect()} == {"en", "de", "fr", "es", "it", None}
+    english = mixing.mix(spark.createDataFrame(rows, DOCS), {**mixing.TARGETS, "lang": {"en": 1.0, "de": 0, "fr": 0, "es": 0, "it": 0}}, sweeps=3).collect()
+    assert {r["lang"] for r in english} <= {"en", None}
+
+
+def test_tables_too_large_to_broadcast_give_the_same(spark, monkeypatch):
+    frame = spark.createDataFrame(documents(), DOCS)
+    key = lambda r: str(tuple(r))
+    few = sorted(mixing.mix(frame, sweeps=3).collect(), key=key)
+    monkeypatch.setattr(mixing, "SMALL", 0)
+    monkeypatch.setattr(mixing, "PART", 2)
+    many = sorted(mixing.mix(frame, sweeps=3).collect(), key=key)
+    assert [tuple(r)[:-1] for r in many] == [tuple(r)[:-1] for r in few] and [r["probability"] for r in many] == pytest.approx([r["probability"] for r in few])
+
+
+def test_unmet_marginals_are_told(spark):
+    cells = [("a", "en", "x", 100), ("a", "de", "x", 100), ("b", "de", "x", 900)]
+    with pytest.warns(UserWarning, match="a marginal is off"):
+        raked(spark, cells, {"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 0.5, "de": 0.5}, "topic": 1.0}, keep=0.9, sweeps=1)
+
+
+def test_rows_of_mix_are_as_they_were(spark):
+    docs = spark.createDataFrame([(i, f"w {i}", "s", "en", f"T{i}", 1.5) for i in range(60)], "doc_id long, text string, source string, lang string, topic string, `pro.bability` double")
+    got = mixing.rows_of_mix(docs)
+    assert got.columns == docs.columns and 10 < got.count() < 50 and all(r["topic"] == f"T{r['doc_id']}" for r in got.collect())
 
 
 def test_mixing_empty(spark):
