@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from colonnade.llm import bpe, mixing, nearcopies, repeats, toxicity
-from colonnade.llm.common import quoted, stored, table
+from colonnade.llm.common import stored, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -35,7 +35,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample of the documents by source, language and topic weights."""
-    return mixing.mix(docs).select(*map(quoted, docs.columns))
+    return mixing.rows_of_mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
