@@ -5,13 +5,15 @@ frame, smoothed and scaled to length one. ``FILTERS`` compare areas of this imag
 integral image. Each filter's log ratio is quantised to two bits in Gray code, and the bits of the 16 filters are packed into one 32-bit integer
 per frame.
 
-Recordings of equal fingerprints are one class. A query recording meets every class, in blocks: frames with equal integers vote for the offset
-between the two recordings, and at the offset with most votes the share of differing bits over the overlap decides. Every block of queries meets
-every block of classes through an equality join on lanes; a block looks up integers by binary search, so no pair without an equal frame costs anything.
+Recordings of equal fingerprints are one class. A query recording meets every class, in blocks. An integer is cut into the ``PARTS``, and each part
+that a frame of either recording has in common votes for the offset between the two: a histogram of offsets. Whole integers would be too coarse, since at a fifth of
+bits in error hardly one in a thousand is the same, while one part in twelve is. At every offset with ``VOTES`` votes the share of differing bits over the
+overlap decides; of several, the one where most bits agree beyond chance is told. Every block of queries meets
+every block of classes through an equality join on lanes; a block looks parts up in an index, so no pair without a part in common costs anything.
 
 Defined results: null, empty or unreadable audio, and audio shorter than a fingerprint needs, has an empty fingerprint, matches nothing and is in the class
 of such rows; a row without an id takes no part; of several rows with one id each is a member of its class, and the query is the one with the smallest fingerprint;
-between offsets with equal votes the nearest to zero wins, then the smaller; other columns are ignored, whatever their names; an empty table gives an empty result.
+between offsets that are equally good the nearest to zero wins, then the smaller; other columns are ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,8 +35,11 @@ LOW, HIGH = 55.0, 1760.0
 SMOOTH = np.array([0.25, 0.75, 1.0, 0.75, 0.25]) / 3
 #: Bounds of the quantiser: log ratios below, between and above these.
 BOUNDS = (-0.25, 0.0, 0.25)
-#: A match has as many votes for one offset, at most this share of differing bits, and as many frames in common.
-VOTES, ERRORS, OVERLAP = 4, 0.2, 8
+#: A match has as many votes for one offset, at most this share of differing bits, and as many frames in common (fewer are alike by chance).
+VOTES, ERRORS, OVERLAP = 5, 0.2, 20
+#: The parts of an integer that vote: lowest bit and number of bits.
+PARTS = ((0, 11), (11, 11), (22, 10))
+_PART = 1 << 11
 
 
 def filters() -> list[tuple[int, int, int, int]]:
@@ -156,31 +161,69 @@ def bit_errors(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[float, int]:
     return int(np.bitwise_count(a[lo:hi] ^ b[lo + offset : hi + offset]).sum()) / (32 * (hi - lo)), hi - lo
 
 
-def alignments(query: np.ndarray, prints: list[np.ndarray], index: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[tuple[int, int, int, float, int]]:
-    """(which print, offset, votes, bit error share, overlap) of the prints that match; index: sorted integers, their print and place."""
-    values, owner, place = index
-    lo, hi = np.searchsorted(values, query, "left"), np.searchsorted(values, query, "right")
-    size = hi - lo
-    if not size.any():
+class Index:
+    """The parts of the integers of some prints: which print has them, and where."""
+
+    def __init__(self, prints: list[np.ndarray]):
+        self.sizes = np.array([len(p) for p in prints], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.longest = int(self.sizes.max(initial=0))
+        self.values = np.concatenate([*prints, np.zeros(0, np.uint32)])
+        keys = parts_of(self.values)
+        owner = np.repeat(np.arange(len(prints)), [len(p) for p in prints])
+        place = np.concatenate([*(np.arange(len(p)) for p in prints), np.zeros(0, np.int64)])
+        order = np.argsort(keys.ravel(), kind="stable")
+        self.start = np.searchsorted(keys.ravel()[order], np.arange(len(PARTS) * _PART + 1))
+        self.owner, self.place = (np.tile(x, len(PARTS))[order] for x in (owner, place))
+
+    def offsets(self, query: np.ndarray, votes: int = VOTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(print, offset, votes) of every offset with that many votes."""
+        keys = parts_of(query).ravel()
+        lo, size = self.start[keys], self.start[keys + 1] - self.start[keys]
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+        wide = len(query) + self.longest
+        code = self.owner[at] * wide + self.place[at] - np.repeat(np.tile(np.arange(len(query)), len(PARTS)), size) + len(query)
+        if len(self.sizes) * wide <= 1 << 22:
+            count = np.bincount(code)
+            found = np.flatnonzero(count >= votes)
+            count = count[found]
+        else:
+            found, count = np.unique(code, return_counts=True)
+            found, count = found[count >= votes], count[count >= votes]
+        return found // wide, found % wide - len(query), count
+
+
+def parts_of(values: np.ndarray) -> np.ndarray:
+    """(parts, values): each part as a number of its own."""
+    return np.stack([k * _PART + ((values >> np.uint32(low)) & np.uint32((1 << bits) - 1)).astype(np.int64) for k, (low, bits) in enumerate(PARTS)])
+
+
+def better(share: float, overlap: int, offset: int) -> tuple[float, int, int]:
+    """Orders offsets: by the bits that agree beyond chance, then nearest to zero."""
+    return -overlap * (0.5 - share), abs(offset), offset
+
+
+def alignments(query: np.ndarray, index: Index, batch: int = 4096) -> Iterator[tuple[int, int, int, float, int]]:
+    """(which print, offset, votes, bit error share, overlap) of the prints that match, each at its best offset."""
+    if not len(query) or not index.longest:
         return
-    at = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-    offset = place[at] - np.repeat(np.arange(len(query)), size)
-    pair, votes = np.unique(np.stack([owner[at], offset], axis=1), axis=0, return_counts=True)
-    order = np.lexsort((pair[:, 1], np.abs(pair[:, 1]), -votes, pair[:, 0]))
-    pair, votes = pair[order], votes[order]
-    first = np.concatenate([[True], np.diff(pair[:, 0]) != 0]) & (votes >= VOTES)
-    for (which, off), n in zip(pair[first].tolist(), votes[first].tolist(), strict=True):
-        share, overlap = bit_errors(query, prints[which], off)
-        if share <= ERRORS and overlap >= OVERLAP:
-            yield which, off, n, share, overlap
-
-
-def index_of(prints: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    values = np.concatenate([*prints, np.zeros(0, np.uint32)])
-    owner = np.repeat(np.arange(len(prints)), [len(p) for p in prints])
-    place = np.concatenate([*(np.arange(len(p)) for p in prints), np.zeros(0, np.int64)])
-    order = np.argsort(values, kind="stable")
-    return values[order], owner[order], place[order]
+    which, off, votes = index.offsets(query)
+    overlap = np.minimum(len(query), index.sizes[which] - off) - np.maximum(0, -off)
+    long = overlap >= OVERLAP
+    which, off, votes, overlap = which[long], off[long], votes[long], overlap[long]
+    best: dict[int, tuple] = {}
+    for at in range(0, len(which), batch):
+        w, o, n, v = (x[at : at + batch] for x in (which, off, overlap, votes))
+        # The frames of all pairs one after another.
+        frame = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - np.maximum(0, -o), n)
+        differ = np.bitwise_count(query[frame] ^ index.values[np.repeat(index.begins[w] + o, n) + frame])
+        share = np.add.reduceat(differ.astype(np.int64), np.cumsum(n) - n) / (32 * n)
+        for k in np.flatnonzero(share <= ERRORS).tolist():
+            told = (better(float(share[k]), int(n[k]), int(o[k])), int(o[k]), int(v[k]), float(share[k]), int(n[k]))
+            if (x := int(w[k])) not in best or told < best[x]:
+                best[x] = told
+    for x in sorted(best):
+        yield x, *best[x][1:]
 
 
 def fingerprints(recordings: DataFrame, id_col: str = "rec_id", audio_col: str = "audio") -> DataFrame:
@@ -233,8 +276,8 @@ def match_recordings(prints: DataFrame, queries: DataFrame, block_rows: int = 20
             for row in range(batch.num_rows):
                 ids, fps, q_ids, q_fps = (batch.column(i)[row].as_py() for i in range(4))
                 data = [np.frombuffer(x, "<u4") for x in fps]
-                index = index_of(data)
-                out = [(q, ids[w], o, v, round(s, 9), n) for q, f in zip(q_ids, q_fps, strict=True) for w, o, v, s, n in alignments(np.frombuffer(f, "<u4"), data, index)]
+                index = Index(data)
+                out = [(q, ids[w], o, v, round(s, 9), n) for q, f in zip(q_ids, q_fps, strict=True) for w, o, v, s, n in alignments(np.frombuffer(f, "<u4"), index)]
                 columns = list(zip(*out, strict=True)) or [[]] * 6
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["asked", "found", "offset", "votes", "bit_errors", "overlap"])
