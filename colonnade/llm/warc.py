@@ -8,7 +8,9 @@ from the source's identifier and the kind, so a second run, or a task that runs
 
 Records are built one by one inside a scan; nothing is shuffled, and a task's memory is one batch of records.
 
-Defined results: records other than responses with a record id give nothing; a response without HTTP header block is all payload; a null or empty
+Chunked and compressed payloads (gzip, deflate, zstd) are undone before they are read; digests remain those of the source.
+
+Defined results: records other than responses with a record id give nothing; a response without HTTP header block is all payload; a payload of unknown encoding has no text; a null or empty
 html is an empty payload, whose records have empty text and no links; a null address gives empty target headers; other columns are
 ignored, whatever their names; repeated rows give repeated records; an empty table gives an empty result.
 """
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 from urllib.parse import urljoin
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +37,8 @@ from . import markup
 # The record layout of the WARC 1.1 format.
 VERSION = "WARC/1.1"
 LINE = "\r\n"
+#: Bytes that are read of a file, or inflated, at once.
+PIECE = 1 << 16
 #: Attributes that hold addresses, by element.
 LINKS = {"a": "href", "area": "href", "link": "href", "img": "src", "script": "src", "iframe": "src", "form": "action", "source": "src", "embed": "src", "video": "src", "audio": "src"}
 
@@ -60,32 +65,72 @@ def write_record(headers: Headers, block: bytes) -> bytes:
     return head.encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def read_records(data: bytes) -> Iterator[tuple[Headers, bytes]]:
-    """The (headers, block) of each record of a WARC file, plain or gzipped by record. A cut-off last record is left out."""
-    if data[:2] == b"\x1f\x8b":
-        parts = []
-        while data[:2] == b"\x1f\x8b":
-            member = zlib.decompressobj(31)
-            parts.append(member.decompress(data))
-            data = member.unused_data
-        data = b"".join(parts)
-    at = 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        stop = data.find(b"\r\n\r\n", at)
-        if stop < 0:
+def _inflated(data: memoryview) -> Iterator[bytes]:
+    """The bytes of gzip members one after another, in pieces; what is damaged or cut off ends them."""
+    at, member = 0, zlib.decompressobj(31)
+    while at < len(data):
+        fed = data[at : at + PIECE]
+        try:
+            out = member.decompress(fed, PIECE)
+            while out:
+                yield out
+                out = b"" if member.eof else member.decompress(member.unconsumed_tail, PIECE)
+        except zlib.error:
             return
-        headers: Headers = []
-        for line in data[at:stop].decode("utf-8", "replace").split(LINE)[1:]:
-            if line[:1] in " \t" and headers:
-                headers[-1] = (headers[-1][0], f"{headers[-1][1]} {line.strip()}")
-            elif ":" in line:
-                name, value = line.split(":", 1)
-                headers.append((name.strip(), value.strip()))
+        at += len(fed) - len(member.unused_data)
+        if member.eof:
+            member = zlib.decompressobj(31)
+
+
+def read_records(data: bytes) -> Iterator[tuple[Headers, bytes]]:
+    """The (headers, block) of each record of a WARC file, plain or gzipped, as they come: what is read of the file is inflated piece by piece and held no longer than its
+    record. A cut-off last record is left out."""
+    view = memoryview(data)
+    pieces = _inflated(view) if data[:2] == b"\x1f\x8b" else (bytes(view[i : i + PIECE]) for i in range(0, len(view), PIECE))
+    held, at = bytearray(), 0
+
+    def more() -> bool:
+        nonlocal at
+        if at > PIECE:
+            del held[:at]
+            at = 0
+        piece = next(pieces, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    while True:
+        while (start := held.find(b"WARC/", at)) < 0:
+            at = max(at, len(held) - 4)
+            if not more():
+                return
+        at, seen = start, start
+        while (stop := held.find(b"\r\n\r\n", max(seen - 3, at))) < 0:
+            seen, before = len(held), at
+            if not more():
+                return
+            seen -= before - at
+        headers = header_lines(held[at:stop].decode("utf-8", "replace").split(LINE)[1:])
         length = find(headers, "Content-Length")
-        if not length.isdigit() or stop + 4 + int(length) > len(data):
+        if not length.isdigit():
             return
-        at = stop + 4 + int(length)
-        yield headers, data[stop + 4 : at]
+        at = stop + 4
+        while len(held) - at < int(length):
+            if not more():
+                return
+        yield headers, bytes(held[at : at + int(length)])
+        at += int(length)
+
+
+def header_lines(lines: list[str]) -> Headers:
+    """Names and values of header lines, continued ones put together."""
+    headers: Headers = []
+    for line in lines:
+        if line[:1] in (" ", "\t") and headers:
+            headers[-1] = (headers[-1][0], f"{headers[-1][1]} {line.strip()}")
+        elif ":" in line:
+            name, value = line.split(":", 1)
+            headers.append((name.strip(), value.strip()))
+    return headers
 
 
 def find(headers: Headers, name: str, default: str = "") -> str:
@@ -116,8 +161,65 @@ def http_parts(block: bytes) -> tuple[str, str, Headers, bytes]:
         return "", "", [], block
     lines = head.decode("latin-1").split(LINE)
     version, _, status = lines[0].partition(" ")
-    headers = [(k.strip(), v.strip()) for k, s, v in (x.partition(":") for x in lines[1:]) if s]
-    return version, status, headers, payload
+    return version, status, header_lines(lines[1:]), payload
+
+
+def unchunked(payload: bytes) -> bytes:
+    """The chunks of a chunked payload put together, as far as they are well formed; a payload that is not chunked after all as it is."""
+    parts, at = [], 0
+    while (stop := payload.find(b"\r\n", at)) >= 0:
+        try:
+            size = int(payload[at:stop].split(b";")[0], 16)
+        except ValueError:
+            break
+        if not size:
+            return b"".join(parts)
+        parts.append(payload[stop + 2 : stop + 2 + size])
+        at = stop + 4 + size
+    return b"".join(parts) if parts else payload
+
+
+def decoded_payload(headers: Headers, payload: bytes) -> bytes:
+    """The payload without its transfer and content encodings. One whose encoding is unknown here has no content; damaged data give what came before the damage,
+    and data that are not encoded as they say are taken as they are."""
+    if "chunked" in find(headers, "Transfer-Encoding").lower():
+        payload = unchunked(payload)
+    for name in reversed([x.strip().lower() for x in find(headers, "Content-Encoding").split(",") if x.strip()]):
+        if name in ("identity", "utf-8"):
+            continue
+        if name in ("gzip", "x-gzip"):
+            payload = b"".join(_inflated(memoryview(payload))) if payload[:2] == b"\x1f\x8b" else payload
+        elif name == "deflate":
+            payload = _deflated(payload)
+        elif name == "zstd":
+            payload = _zstd(payload)
+        else:
+            return b""
+    return payload
+
+
+def _deflated(payload: bytes) -> bytes:
+    """Zlib data, or, as some servers send, bare deflate data."""
+    for bits in (15, -15):
+        inflater, out = zlib.decompressobj(bits), []
+        try:
+            for at in range(0, len(payload), PIECE):
+                out.append(inflater.decompress(payload[at : at + PIECE]))
+        except zlib.error:
+            pass
+        if any(out):
+            return b"".join(out)
+    return payload
+
+
+def _zstd(payload: bytes) -> bytes:
+    out, reader = [], zstandard.ZstdDecompressor().stream_reader(payload, read_across_frames=True)
+    try:
+        while piece := reader.read(PIECE):
+            out.append(piece)
+    except zstandard.ZstdError:
+        pass
+    return b"".join(out) or payload
 
 
 def charset(headers: Headers, payload: bytes) -> str:
@@ -194,7 +296,8 @@ def derive(headers: Headers, block: bytes) -> list[tuple[Headers, bytes, dict]]:
         return []
     url, date = find(headers, "WARC-Target-URI"), find(headers, "WARC-Date")
     version, status, http, payload = http_parts(block)
-    title, metas, links, text = page_facts(payload.decode(charset(http, payload), "replace"), url)
+    page = decoded_payload(http, payload)
+    title, metas, links, text = page_facts(page.decode(charset(http, page), "replace"), url)
     digest = find(headers, "WARC-Payload-Digest") or sha1_base32(payload)
     envelope = {
         "Envelope": {
@@ -249,7 +352,9 @@ def derive_pages(pages: DataFrame, date: str = "1970-01-01T00:00:00Z") -> DataFr
                 batch = whole.slice(at, 512)
                 rows: list[tuple] = []
                 for page_id, url, html in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                    for headers, block, facts in derive(*response_record(page_id, url, html, date)):
+                    # The response goes through a record's bytes, as it would through a file.
+                    derived = (x for response in read_records(write_record(*response_record(page_id, url, html, date))) for x in derive(*response))
+                    for headers, block, facts in derived:
                         value = dict(headers)
                         rows.append((page_id, value["WARC-Type"], value["WARC-Record-ID"], value["WARC-Refers-To"], value["WARC-Target-URI"], len(block), facts["digest"], facts["source_digest"], facts["title"], facts["n_links"], facts["n_chars"], write_record(headers, block)))
                 kinds = [pa.int64(), *[pa.string()] * 4, pa.int64(), *[pa.string()] * 3, pa.int32(), pa.int64(), pa.binary()]

@@ -1,6 +1,15 @@
 from __future__ import annotations
 
+import gzip
+import io
 import json
+import time
+import zlib
+from email.parser import BytesHeaderParser
+from http.client import HTTPResponse
+
+import pytest
+import zstandard
 
 from colonnade.llm import warc
 
@@ -27,7 +36,7 @@ def test_records_are_linked(spark):
     assert warc.find(parsed["conversion"][0], "WARC-Concurrent-To") == warc.find(parsed["metadata"][0], "WARC-Record-ID")
     assert parsed["conversion"][1].decode() == "A & B\nLink text\nBody"
     facts = json.loads(parsed["metadata"][1])["Envelope"]
-    assert facts["WARC-Header-Metadata"] == dict(source) and facts["Actual-Content-Length"] == len(block)
+    assert facts["WARC-Header-Metadata"] == {**dict(source), "Content-Length": str(len(block))} and facts["Actual-Content-Length"] == len(block)
     page = facts["Payload-Metadata"]["HTTP-Response-Metadata"]
     assert page["HTML-Metadata"]["Head"] == {"Title": "A & B", "Metas": [{"name": "d", "content": "x"}]}
     assert [(x["path"], x["url"]) for x in page["HTML-Metadata"]["Links"]] == [("LINK@/href", "http://h.example/s.css"), ("A@/href", "http://h.example/z?q=1&r"), ("SCRIPT@/src", "http://h.example/a/x.js")]
@@ -69,3 +78,80 @@ def test_repeated_headers_are_kept():
     told = json.loads(facts)["Envelope"]
     assert told["WARC-Header-Metadata"] == {"WARC-Type": "response", "WARC-Record-ID": "<x>", "WARC-Concurrent-To": ["<a>", "<b>"]}
     assert told["Payload-Metadata"]["HTTP-Response-Metadata"]["Headers"] == {"Set-Cookie": ["a=1", "b=2"], "Content-Type": "text/html"}
+
+
+def encoded(name, body):
+    if name == "raw deflate":
+        c = zlib.compressobj(wbits=-15)
+        return c.compress(body) + c.flush()
+    return {"gzip": gzip.compress, "deflate": zlib.compress, "zstd": zstandard.compress, "identity": bytes}[name](body)
+
+
+@pytest.mark.parametrize("name", ["gzip", "deflate", "raw deflate", "zstd", "identity"])
+@pytest.mark.parametrize("chunked", [False, True])
+def test_encoded_payloads(name, chunked):
+    html = "<title>T</title><p>caf\u00e9 " + "x y " * 50_000
+    body = encoded(name, html.encode())
+    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Encoding: {name.split()[-1]}\r\n"
+    if chunked:
+        parts = [body[i : i + 1000] for i in range(0, len(body), 1000)]
+        body = b"".join(b"%x;ext=1\r\n%s\r\n" % (len(p), p) for p in parts) + b"0\r\n\r\n"
+        head += "Transfer-Encoding: chunked\r\n"
+    (_, facts, _), (_, text, about) = warc.derive([("WARC-Type", "response"), ("WARC-Record-ID", "<x>")], head.encode() + b"\r\n" + body)
+    assert text.decode() == "T\n" + ("caf\u00e9 " + "x y " * 50_000).strip() and about["title"] == "T"
+    told = json.loads(facts)["Envelope"]["Payload-Metadata"]["HTTP-Response-Metadata"]
+    assert told["Entity-Length"] == len(body) and told["Entity-Digest"] == warc.sha1_base32(body)
+
+
+def test_damaged_and_unknown_encodings():
+    head = [("WARC-Type", "response"), ("WARC-Record-ID", "<x>")]
+
+    def text(name, body):
+        return warc.derive(head, b"HTTP/1.1 200 OK\r\nContent-Encoding: " + name + b"\r\n\r\n" + body)[1][1].decode()
+
+    assert text(b"br", b"<p>secret") == "" and text(b"gzip", b"<p>plain") == text(b"deflate", b"<p>plain") == text(b"zstd", b"<p>plain") == "plain"
+    cut = gzip.compress(b"<p>" + b"a b " * 100_000)
+    assert text(b"gzip", cut[: len(cut) // 2]).startswith("a b a b")
+
+
+def independent(data):
+    """Another reader: the standard library's mail and HTTP parsers."""
+    stream, out = io.BytesIO(data), []
+    while line := stream.readline():
+        assert line == b"WARC/1.1\r\n"
+        lines = []
+        while (line := stream.readline()) != b"\r\n":
+            lines.append(line)
+        headers = BytesHeaderParser().parsebytes(b"".join(lines))
+        out.append((headers.items(), stream.read(int(headers["Content-Length"]))))
+        assert stream.read(4) == b"\r\n\r\n"
+    return out
+
+
+def test_records_against_another_reader(spark):
+    rows = records(spark, [(i, f"http://h.example/{i}", HTML * (i % 4)) for i in range(20)])
+    data = b"".join(bytes(r["record"]) for r in rows)
+    theirs = independent(data)
+    assert [(list(h), b) for h, b in warc.read_records(data)] == theirs == [(list(h), b) for h, b in warc.read_records(gzip.compress(data))]
+    assert len(theirs) == 40 and all(dict(h)["WARC-Refers-To"] == r["refers_to"] for (h, _), r in zip(theirs, rows, strict=True))
+    _, block = warc.response_record(1, "u", HTML, "d")
+
+    class Socket:
+        def makefile(self, _):
+            return io.BytesIO(block)
+
+    answer = HTTPResponse(Socket())
+    answer.begin()
+    assert (answer.status, answer.read()) == (200, warc.http_parts(block)[3])
+
+
+def test_files_of_many_members_take_their_length():
+    member = [warc.gzip_member(warc.write_record(*warc.response_record(i, f"http://h/{i}", HTML, "d"))) for i in range(50)]
+    for n in (100, 800):
+        began = time.process_time()
+        assert sum(1 for _ in warc.read_records(b"".join(member * n))) == 50 * n
+        took = time.process_time() - began
+        assert took < 0.001 * 50 * n
+    large = warc.write_record(*warc.response_record(1, "u", "z" * 5_000_000, "d"))
+    assert [len(b) > 5_000_000 for _, b in warc.read_records(large + large)] == [True, True]
+    assert list(warc.read_records(b"")) == list(warc.read_records(b"no records")) == list(warc.read_records(b"\x1f\x8bbad")) == []
