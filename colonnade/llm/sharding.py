@@ -1,17 +1,20 @@
 """Sharding by a consistent-hash ring with virtual nodes and bounded loads.
 
-A key's position on the ring is the 64-bit hash of its id; the ring is cut into a fixed number of cells (its leading bits) and
+A row's position on the ring is the 64-bit hash of its id and text; the ring is cut into a fixed number of cells (its leading bits) and
 every shard owns virtual nodes that start at cells. A row goes to the shard of the first virtual node at or after its cell; where that
 shard is full it continues clockwise to the next one that is not. Only the row count of each cell reaches the driver - at most
 ``cells`` numbers, whatever the input - which walks the ring once and writes down, for each cell, which ranks go to which shard.
-Rows then need one shuffle (by cell, a few narrow columns) to learn their rank in the cell; no task holds a whole shard.
+Rows then need one shuffle (by cell, a few narrow columns) to learn their rank in the cell; no task holds a whole shard. Rows alike in every respect, of
+which there may be very many, are counted first, ranked as one, and written out again in pieces of ``chunk``; rows that share only an id, or only a text, lie
+in different cells.
 
 With ``epsilon`` 0 the capacities are n/shards rounded down or up, so counts are at most one apart (the law ``rows``); a larger
 epsilon leaves slack and moves fewer rows when the table or the shard count changes.
 
-Defined results: a null text has size 1 and the CRC of no bytes; a null id hashes the text instead, so that such rows spread out as well;
-rows alike in every respect are interchangeable and each get a slot of their own; an empty table gives an empty result. Columns
-other than the id and the text are ignored, whatever their names. One id is expected to be rare: all rows of one id share a cell.
+Defined results: a null text has size 1 and the CRC of no bytes; a null id is one more id;
+rows alike in every respect are interchangeable and each get a slot of their own, and equal texts need not share a shard - counts that are one apart
+at most leave no room for a large group of them; an empty table gives an empty result. Columns
+other than the id and the text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -63,7 +66,7 @@ def capacities(rows: int, shards: int, epsilon: float) -> list[int]:
     return [max(e, int(rows / shards * (1 + epsilon))) for e in even]
 
 
-def bounded_ring(docs: DataFrame, shards: int = 16, per_shard: int = 64, epsilon: float = 0.0, cells: int = 65536, id_col: str = "doc_id", text_col: str = "text", seed: int = 0) -> DataFrame:
+def bounded_ring(docs: DataFrame, shards: int = 16, per_shard: int = 64, epsilon: float = 0.0, cells: int = 65536, id_col: str = "doc_id", text_col: str = "text", seed: int = 0, chunk: int = 100_000) -> DataFrame:
     """Each row's shard and slot: doc_id, size, text_crc32, law, shard, slot, grown_shard, home_shard.
 
     grown_shard is null: bounds make a row's shard depend on the other rows, so the law is ``rows`` (``bounded`` if
@@ -71,7 +74,7 @@ def bounded_ring(docs: DataFrame, shards: int = 16, per_shard: int = 64, epsilon
     """
     spark = docs.sparkSession
     text = F.col(text_col)
-    place = F.coalesce(F.when(F.col(id_col).isNotNull(), F.xxhash64(F.lit(seed), F.col(id_col))), F.xxhash64(F.lit(seed), text))
+    place = F.xxhash64(F.lit(seed), F.col(id_col), F.coalesce(text, F.lit("")))
     bits = cells.bit_length() - 1
     if cells != 1 << bits:
         raise ValueError("cells must be a power of two")
@@ -89,11 +92,16 @@ def bounded_ring(docs: DataFrame, shards: int = 16, per_shard: int = 64, epsilon
         place.alias("place"),
         cell.alias("cell"),
     )
-    order = Window.partitionBy("cell").orderBy("place", "doc_id", "size", "text_crc32")
-    ranked = rows.withColumn("at", (F.row_number().over(order) - 1).cast("long"))
+    kinds = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    order = Window.partitionBy("cell").orderBy("place", "doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = kinds.withColumn("first", (F.sum("n").over(order) - F.col("n")).cast("long"))
+    # Most kinds are one row; what is more goes out in pieces, dealt to all tasks.
+    one = ranked.where("n = 1").select("*", F.col("first").alias("at"))
+    pieces = ranked.where("n > 1").withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(chunk).cast("long")))).repartition("place", "from")
+    many = pieces.select(*ranked.columns, F.explode(F.sequence(F.col("first") + F.col("from"), F.col("first") + F.least("n", F.col("from") + chunk) - 1)).alias("at"))
     # The plan has at most ``cells`` rows and as many runs more as there are shards, so it is safe to broadcast.
     run = F.element_at(F.filter("runs", lambda x: x["rank"] <= F.col("at")), -1)
-    placed = ranked.join(F.broadcast(plan), "cell").withColumn("run", run)
+    placed = one.unionByName(many).join(F.broadcast(plan), "cell").withColumn("run", run)
     law = "rows" if epsilon == 0 else "bounded"
     return placed.select(
         "doc_id",

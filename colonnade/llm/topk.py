@@ -7,8 +7,8 @@ remaining masses), reaches the k-th best known score stay in the compacted candi
 
 Defined results: a vector that is null, or has a null or non-finite component, takes no part, nor does a row without an id.
 An empty vector scores 0 against other empty ones. Vectors are compared with vectors of the same length only. A query's
-own row is every row that bears its id; a repeated query id is searched once (its smallest vector, element by element, if they
-differ); other repeated rows each count as a row. Ties go to the smaller id. Other columns are ignored, whatever their names.
+own row is every row that bears its id. Repeated rows each count as a row: of a repeated query id all rows are searched, and their pairs ranked
+together. Ties go to the smaller id. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -120,7 +120,7 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float
         fine = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
         return df.select(F.col(id_col).cast("long").alias("id"), value.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull() & fine)
 
-    asked = usable(queries).groupBy("id").agg(F.min("v").alias("v"))
+    asked = usable(queries)
     lane = F.pmod(F.xxhash64("ids"), F.lit(lanes)).cast("int")
     right = usable(vectors).mapInArrow(_packer(block_rows, scale), _BLOCK).withColumn("lane", lane)
     left = asked.mapInArrow(_packer(query_rows, scale), _BLOCK).select(F.col("dim"), F.col("n").alias("q_n"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"))

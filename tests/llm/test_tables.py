@@ -136,6 +136,10 @@ def test_shards(spark):
     assert len(got) == len(rows) and set(sizes) == set(range(16)) and max(sizes.values()) - min(sizes.values()) <= 1
     for shard, n in sizes.items():
         assert sorted(r["slot"] for r in got if r["shard"] == shard) == list(range(n))
+    whole = sharding.bounded_ring(frame.unionByName(frame.where("doc_id = 7").withColumn("c", sharding.F.explode(sharding.F.sequence(sharding.F.lit(1), sharding.F.lit(3000)))).drop("c")), 16, chunk=64).collect()
+    assert len(whole) == len(rows) + 6000 and sum(r["doc_id"] == 7 for r in whole) == 6002
+    for shard, n in Counter(r["shard"] for r in whole).items():
+        assert sorted(r["slot"] for r in whole if r["shard"] == shard) == list(range(n)) and n in (len(whole) // 16, len(whole) // 16 + 1)
     facts = Counter((r[0], len((r[1] or "").encode()) + 1, crc32((r[1] or "").encode())) for r in rows)
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == facts
     assert all(r["law"] == "rows" and r["grown_shard"] is None for r in got)
@@ -175,5 +179,17 @@ def test_topk_against_brute_force(spark):
     assert topk.exact_topk(spark.createDataFrame([], VECTORS), frame).count() == 0
 
 
+def test_repeated_query_ids_as_in_the_sql(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.standard_normal(6).astype(np.float32).tolist(), 1, 2) for i in range(120)]
+    rows += [(0, rng.standard_normal(6).astype(np.float32).tolist(), 1, 2), rows[50], rows[7], (50, rows[3][1], 1, 2)]
+    frame = spark.createDataFrame(rows, VECTORS)
+    got = sorted(map(tuple, topk.exact_topk(frame, frame.where("vec_id % 50 = 0"), 5, block_rows=32, query_rows=2).collect()))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", [r[:2] for r in rows])
+    assert got == sorted(con.execute(queries.ORACLE["op5_topk"]).fetchall()) and len(got) == 15
+
+
 def test_queries_and_sql_have_names_in_common():
     assert set(queries.ORACLE) <= set(queries.QUERIES) and len(queries.QUERIES) == 10
