@@ -67,46 +67,53 @@ def numbers_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return engine_of(spark).frame(SelectQuery("SELECT count(*) AS n, sum(id) AS s FROM range(100000)", [ResultColumn("Int64", "n"), ResultColumn("Int64", "s")]))
 
 
-MIXED = {
-    "n32": "Int32", "s": "String", "lc": "LowCardinality(String)", "nu": "Nullable(Int32)", "ar": "Array(Int32)", "mp": "Map(String, String)",
-    "tp": "Tuple(String, Int32)", "dec": "Decimal(9, 2)", "en": "Enum8('off' = 0, 'on' = 1, 'dim' = 2)", "pt": "Point", "iv": "IntervalDay", "js": "JSON", "bf": "BFloat16", "lcfs": "LowCardinality(FixedString(8))",
+#: What an event is, column by column, in the richest types that hold it.
+EVENT_TYPES = {"click": 1, "error": 2, "purchase": 3, "signup": 4, "view": 5}
+TYPED = {
+    "actor": "Int32", "caption": "String", "kind": "LowCardinality(String)", "large": "Nullable(Int32)", "clock": "Array(Int32)", "about": "Map(String, String)", "by": "Tuple(String, Int32)",
+    "amount": "Decimal(9, 2)", "code": types.enum_string("Enum8", EVENT_TYPES), "spot": "Point", "since": "IntervalDay", "detail": "JSON", "rough": "BFloat16", "tag": "LowCardinality(FixedString(8))",
 }
 
 
-def mixed_columns(n) -> list:
-    """Fourteen typed columns made from a number column."""
-    n32 = n.cast("int")
+def typed_events(events: DataFrame) -> list:
+    """The typed columns of events (ts, user_id, event_type, value, props)."""
+    actor, day = F.col("user_id").cast("int"), F.date_format("ts", "yyyy-MM-dd")
     made = {
-        "n32": n32,
-        "s": n.cast("string"),
-        "lc": F.concat(F.lit("k"), (n % 3).cast("string")),
-        "nu": F.when(n % 2 == 1, n32),
-        "ar": F.transform(V.zero_to(n % 4), lambda x: x.cast("int")),
-        "mp": F.create_map(F.lit("k"), n.cast("string"), F.lit("t"), (n * 10).cast("string")),
-        "tp": F.struct(F.concat(F.lit("t"), n.cast("string")).alias("_1"), n32.alias("_2")),
-        "dec": V.to_decimal(n.cast("decimal(18,4)") + F.lit("0.1299").cast("decimal(18,4)"), 9, 2),
-        "en": V.enum_name(n % 3, MIXED["en"]),
-        "pt": V.point(n.cast("double"), -n.cast("double")),
-        "iv": V.interval(n % 100, "IntervalDay"),
-        "js": F.concat(F.lit('{"a": '), n.cast("string"), F.lit("}")),
-        "bf": V.to_bfloat16(n % 1000),
-        "lcfs": V.fixed_string(F.concat(F.lit("v"), (n % 2).cast("string")), 8),
+        "actor": actor,
+        "caption": F.concat(F.col("event_type"), F.lit(" by "), F.col("user_id").cast("string")),
+        "kind": F.col("event_type"),
+        "large": F.when(F.col("value") >= 100, F.floor("value").cast("int")),
+        "clock": F.array(F.month("ts"), F.dayofmonth("ts"), F.hour("ts")),
+        "about": F.create_map(F.lit("day"), day, F.lit("actor"), actor.cast("string")),
+        "by": F.struct(F.col("event_type").alias("_1"), actor.alias("_2")),
+        "amount": V.to_decimal(F.col("value").cast("decimal(18,4)"), 9, 2),
+        "code": V.enum_name(V.enum_value("event_type", TYPED["code"]), TYPED["code"]),
+        "spot": V.point(F.hour("ts"), "value"),
+        "since": V.interval(F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")), "IntervalDay"),
+        "detail": F.col("props"),
+        "rough": V.to_bfloat16("value"),
+        "tag": V.fixed_string(F.col("event_type"), 8),
     }
-    return [V.typed(c, name, MIXED[name]) for name, c in made.items()]
+    return [V.typed(c, name, TYPED[name]) for name, c in made.items()]
 
 
-@query("""SELECT CAST(event_id AS INTEGER) AS n32, CAST(event_id AS VARCHAR) AS s, 'k' || (event_id % 3) AS lc, CASE WHEN event_id % 2 = 1 THEN CAST(event_id AS INTEGER) ELSE -1 END AS nu,
- CAST(len(range(event_id % 4)) AS INTEGER) AS ar_size, CAST(coalesce(list_sum(range(event_id % 4)), 0) AS BIGINT) AS ar_sum, CAST(event_id * 10 AS VARCHAR) AS mp_t, 't' || event_id AS tp_1, CAST(event_id AS INTEGER) AS tp_2,
- CAST(CAST(event_id + 0.12 AS DECIMAL(9, 2)) AS DOUBLE) AS "dec", CASE event_id % 3 WHEN 0 THEN 'off' WHEN 1 THEN 'on' ELSE 'dim' END AS en, CAST(event_id AS DOUBLE) AS pt_x, -CAST(event_id AS DOUBLE) AS pt_y,
- event_id % 100 AS iv_days, CAST(event_id AS VARCHAR) AS js_a, hex(encode('v' || (event_id % 2))) || '000000000000' AS lcfs FROM events""")
+#: A number of 8 significant bits, to nearest with ties to even, and its 16 bits, in DuckDB; q may reach 256, which carries into the exponent.
+_ROUGH = "SELECT *, CASE WHEN value = 0 THEN 0 ELSE round_even(abs(value::FLOAT::DOUBLE) / pow(2, floor(log2(abs(value::FLOAT::DOUBLE))) - 7), 0) END AS q, CASE WHEN value = 0 THEN 0 ELSE floor(log2(abs(value::FLOAT::DOUBLE))) END AS e FROM events"
+
+
+@query(f"""SELECT CAST(user_id AS INTEGER) AS actor, event_type || ' by ' || user_id AS caption, event_type AS kind, CASE WHEN value >= 100 THEN CAST(floor(value) AS INTEGER) ELSE -1 END AS large, 3 AS clock_size,
+ CAST(month(ts) + day(ts) + hour(ts) AS BIGINT) AS clock_sum, strftime(ts, '%Y-%m-%d') AS about_day, event_type AS by_1, CAST(user_id AS INTEGER) AS by_2, CAST(trunc(CAST(value AS DECIMAL(18, 4)) * 100) / 100 AS DOUBLE) AS amount,
+ event_type AS code, CAST(hour(ts) AS DOUBLE) AS spot_x, value AS spot_y, CAST(date_diff('day', DATE '2024-01-01', ts::DATE) AS BIGINT) AS since_days, props->>'$.k' AS detail_k, CAST(sign(value) * q * pow(2, e - 7) AS DOUBLE) AS rough,
+ upper(hex(encode(event_type))) || repeat('00', 8 - strlen(event_type)) AS tag FROM ({_ROUGH})""")
 def mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fourteen column types of one table, checked as an engine result, then taken apart into plain columns."""
-    made = read(spark, sf_dir, "events").select(*mixed_columns(F.col("event_id")))
-    check_schema(made.schema, [ResultColumn(t, n) for n, t in MIXED.items()])
+    events = read(spark, sf_dir, "events")
+    made = events.select(*typed_events(events))
+    check_schema(made.schema, [ResultColumn(t, n) for n, t in TYPED.items()])
     return made.select(
-        "n32", "s", "lc", F.coalesce("nu", F.lit(-1)).alias("nu"), F.size("ar").alias("ar_size"), F.aggregate("ar", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("ar_sum"), F.element_at("mp", "t").alias("mp_t"),
-        F.col("tp._1").alias("tp_1"), F.col("tp._2").alias("tp_2"), F.col("dec").cast("double").alias("dec"), "en", F.col("pt.x").alias("pt_x"), F.col("pt.y").alias("pt_y"),
-        F.extract(F.lit("DAY"), F.col("iv")).cast("bigint").alias("iv_days"), F.get_json_object("js", "$.a").alias("js_a"), F.hex("lcfs").alias("lcfs"),
+        "actor", "caption", "kind", F.coalesce("large", F.lit(-1)).alias("large"), F.size("clock").alias("clock_size"), F.aggregate("clock", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("clock_sum"),
+        F.element_at("about", "day").alias("about_day"), F.col("by._1").alias("by_1"), F.col("by._2").alias("by_2"), F.col("amount").cast("double").alias("amount"), "code", F.col("spot.x").alias("spot_x"),
+        F.col("spot.y").alias("spot_y"), F.extract(F.lit("DAY"), F.col("since")).cast("bigint").alias("since_days"), F.get_json_object("detail", "$.k").alias("detail_k"), F.col("rough").cast("double").alias("rough"), F.hex("tag").alias("tag"),
     )
 
 
@@ -165,12 +172,58 @@ def stream_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     read(spark, sf_dir, "lineitem").createOrReplaceTempView("stream_lineitem")
     engine, out = engine_of(spark), []
     for name, kinds in stream.SHAPES.items():
-        text = "SELECT " + ", ".join(f"{_SHAPE_COLUMNS[t]} AS c{i}" for i, t in enumerate(kinds)) + " FROM stream_lineitem"
-        n, total = stream.fold(engine, text, kinds, (0, 0.0), _shape_sum, lambda a, b: (a[0] + b[0], a[1] + b[1]))
+        n, total = stream.fold(engine, _shape_text(kinds, "stream_lineitem"), kinds, (0, 0.0), _shape_sum, lambda a, b: (a[0] + b[0], a[1] + b[1]))
         out.append((name, n, round(total, 2)))
     return spark.createDataFrame(out, "shape string, n long, total double")
 
 
+def _shape_text(kinds: tuple[str, ...], table: str) -> str:
+    return "SELECT " + ", ".join(f"{_SHAPE_COLUMNS[t]} AS c{i}" for i, t in enumerate(kinds)) + f" FROM {table}"
+
+
+def _stream_forms() -> list[tuple[str, str, Callable]]:
+    """(form, shape, function) of the 28 named streams and their 28 retried forms."""
+    forms = [("rows", name) for name in stream.ROW_SHAPES] + [("blocks", name) for name in stream.BLOCK_SHAPES]
+    return [(f"{kind}{form}", name, getattr(module, f"{form}_{name}")) for kind, module in (("", stream), ("retried ", retry)) for form, name in forms]
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{form}' AS form, '{name}' AS shape, count(*) AS n, CAST(round(sum({' + '.join(_SHAPE_SUMS[t] for t in stream.SHAPES[name])}), 2) AS DOUBLE) AS total FROM lineitem WHERE l_quantity > 40"
+        for form, name, _ in _stream_forms()
+    )
+)
+def named_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every named stream and every retried one, the latter over a connection that fails at first: rows, and the sum of all values."""
+    read(spark, sf_dir, "lineitem").where("l_quantity > 40").createOrReplaceTempView("named_lineitem")
+    engine, out = engine_of(spark), []
+    for form, name, call in _stream_forms():
+        held = (0, 0.0)
+
+        def blocks(*arrays) -> None:
+            nonlocal held
+            held = _shape_sum(held, *arrays)
+
+        def rows(*values) -> None:
+            nonlocal held
+            held = held[0] + 1, held[1] + sum(float(x.sum()) if isinstance(x, np.ndarray) else 0.0 if x != x else float(x) for x in values)
+
+        text, action = _shape_text(stream.SHAPES[name], "named_lineitem"), rows if "rows" in form else blocks
+        if form.startswith("retried"):
+            lost = [ConnectionError("lost")]
+
+            def connect(_: EngineOptions, lost: list = lost) -> Engine:
+                if lost:
+                    raise lost.pop()
+                return engine
+
+            call(EngineOptions(), retry.RetryPolicy(base_backoff_ms=1), text, action, connect=connect)
+        else:
+            call(engine, text, action)
+        out.append((form, name, held[0], round(held[1], 2)))
+    return spark.createDataFrame(out, "form string, shape string, n long, total double")
+
+
 @query("SELECT count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys, CAST(round(sum(l_quantity), 2) AS DOUBLE) AS quantity FROM lineitem WHERE l_quantity > 45")
 def retried_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream that fails once before its first row and is run again."""
@@ -266,9 +319,8 @@ def fixed_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", F.hex(V.fixed_string(F.substring("p_brand", 1, 8), 8)).alias("fixed"))
 
 
-@query(None)
+@query(f"SELECT event_id, CAST(CASE WHEN value < 0 THEN 32768 ELSE 0 END + CASE WHEN value = 0 THEN 0 ELSE (e + 127) * 128 + q - 128 END AS INTEGER) AS bits, CAST(sign(value) * q * pow(2, e - 7) AS FLOAT) AS rounded FROM ({_ROUGH})")
 def bf16_round(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rounded values lie within half a unit in the last of 8 places; tests compare bits."""
     return read(spark, sf_dir, "events").select("event_id", V.bf16_bits(F.col("value").cast("float")).alias("bits"), V.to_bfloat16("value").alias("rounded"))
 
 

@@ -15,7 +15,7 @@ from colonnade import types
 from colonnade.errors import DrainOverflowError, EngineError, QueryError, SchemaMismatchError, SettingError
 from colonnade.operators import drain, retry
 from colonnade.operators.engine import Engine, EngineOptions, InputColumn, InsertQuery, ResultColumn, SelectQuery, Setting, parse_host_port, parse_insert
-from colonnade.plans.registry import MIXED, mixed_columns
+from colonnade.plans.registry import EVENT_TYPES, TYPED, typed_events
 from colonnade.sources import native_block
 from colonnade.streaming import stream
 
@@ -56,15 +56,20 @@ def test_select_checks_columns(engine):
     assert collected(engine, "SELECT number FROM numbers(0)", results=[ResultColumn("Int64")]) == []
 
 
-def test_mixed_types_keep_their_strings(engine, spark):
-    from pyspark.sql import functions as F
+def events(spark, n):
+    kinds = list(EVENT_TYPES)
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 28, i % 24), 7 * i, kinds[i % 5], 3.125 * i, f'{{"k": {i}}}') for i in range(n)]
+    return spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+
 
-    frame = spark.range(6).select(*mixed_columns(F.col("id")))
-    frame.createOrReplaceTempView("mixed_view")
-    (block, *_) = collected(engine, "SELECT * FROM mixed_view", results=[ResultColumn(t, n) for n, t in MIXED.items()])
-    assert {f.name: str(types.of_spark(f.dataType, False, f.metadata)) for f in frame.schema.fields} == MIXED
-    row = dict(zip(block.names, [v[0] for v in block.values], strict=True))
-    assert row["dec"] == Decimal("0.12") and row["en"] == "off" and row["iv"] == dt.timedelta(0) and row["lcfs"] == b"v0" + b"\0" * 6
+def test_typed_columns_keep_their_strings(engine, spark):
+    rows = events(spark, 40).coalesce(1)
+    frame = rows.select(*typed_events(rows))
+    frame.createOrReplaceTempView("typed_view")
+    (block, *_) = collected(engine, "SELECT * FROM typed_view", results=[ResultColumn(t, n) for n, t in TYPED.items()])
+    assert {f.name: str(types.of_spark(f.dataType, False, f.metadata)) for f in frame.schema.fields} == TYPED
+    row = dict(zip(block.names, [v[35] for v in block.values], strict=True))
+    assert row["amount"] == Decimal("109.37") and row["code"] == "click" and row["since"] == dt.timedelta(7) and row["tag"] == b"click\0\0\0" and row["large"] == 109 and row["rough"] == 109.5
 
 
 def test_settings(engine, spark):
@@ -246,18 +251,19 @@ def test_block_files(spark, tmp_path, compression):
 
     spark.dataSource.register(native_block.NativeBlockSource)
     path = str(tmp_path / "blocks")
-    kinds = {**MIXED, "id": "UUID", "six": "IPv6", "d": "Date32", "t": "DateTime64(6)", "u": "UInt64", "q": "IntervalMonth"}
-    frame = spark.range(50).repartition(3).select(*mixed_columns(F.col("id")), F.lit("00010203-0405-0607-0809-0a0b0c0d0e0f").alias("id"), F.lit("::1").alias("six"), F.lit(dt.date(1950, 1, 2)).alias("d"), F.lit(dt.datetime(2001, 2, 3, 4, 5, 6, 7)).alias("t"), F.col("id").cast("decimal(20,0)").alias("u"), F.col("id").alias("q"))
+    kinds = {**TYPED, "id": "UUID", "six": "IPv6", "d": "Date32", "t": "DateTime64(6)", "u": "UInt64", "q": "IntervalMonth"}
+    rows = events(spark, 50).repartition(3)
+    frame = rows.select(*typed_events(rows), F.lit("00010203-0405-0607-0809-0a0b0c0d0e0f").alias("id"), F.lit("::1").alias("six"), F.lit(dt.date(1950, 1, 2)).alias("d"), F.lit(dt.datetime(2001, 2, 3, 4, 5, 6, 7)).alias("t"), F.col("event_id").cast("decimal(20,0)").alias("u"), F.col("event_id").alias("q"))
     import json
 
     frame.write.format("native_block").option("compression", compression).option("block_rows", 7).option("types", json.dumps({k: kinds[k] for k in ("id", "six", "d", "t", "u", "q")})).mode("append").save(path)
     back = spark.read.format("native_block").load(path)
-    assert {f.name: str(types.of_spark(f.dataType, False, f.metadata)) for f in back.schema.fields if f.name != "s"} == {k: v for k, v in kinds.items() if k != "s"}
-    key = lambda r: r["n32"]
+    assert {f.name: str(types.of_spark(f.dataType, False, f.metadata)) for f in back.schema.fields if f.name not in ("caption", "actor")} == {k: v for k, v in kinds.items() if k not in ("caption", "actor")}
+    key = lambda r: r["actor"]
     assert sorted(back.collect(), key=key) == sorted(frame.collect(), key=key)
-    few = spark.read.format("native_block").schema("s string, bf float").load(path)
-    assert few.count() == 50 and few.agg(F.sum("bf")).first()[0] == sum(range(50))
-    assert native_block.read_blocks_anywhere(spark, path, {"n32": "Int32", "lc": "LowCardinality(String)"}).count() == 50
+    few = spark.read.format("native_block").schema("caption string, rough float").load(path)
+    assert few.count() == 50 and few.agg(F.sum("rough")).first()[0] == frame.agg(F.sum("rough")).first()[0]
+    assert native_block.read_blocks_anywhere(spark, path, {"actor": "Int32", "kind": "LowCardinality(String)"}).count() == 50
     with pytest.raises(PySparkException, match="a null in a column"):
         frame.select(F.lit(None).cast("string").alias("id")).write.format("native_block").option("types", '{"id": "UUID"}').mode("append").save(path)
     assert spark.read.format("native_block").load(path).count() == 50

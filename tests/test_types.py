@@ -32,25 +32,41 @@ def test_wrong_strings(text):
         types.parse(text)
 
 
-NORMAL = {
-    "Decimal(9, 2)": "Decimal32", "Decimal(9,2)": "Decimal32", "Decimal(10, 2)": "Decimal64", "Decimal(18, 4)": "Decimal64", "Decimal(38, 8)": "Decimal128", "Decimal(76, 0)": "Decimal256",
-    "Array(Decimal(9, 2))": "Array(Decimal32)", "Nullable(Decimal(18, 4))": "Nullable(Decimal64)", "Map(String, Decimal(9, 2))": "Map(String, Decimal32)", "Int32": "Int32", "String": "String",
-    "DateTime('UTC')": "DateTime", "DateTime64(3, 'UTC')": "DateTime64(3)", "Array(DateTime('America/New_York'))": "Array(DateTime)", "Enum8('a' = 1)": "Enum8",
-    "Tuple(a Decimal(5, 1))": "Tuple(a Decimal32)", "no type": "no type",
-}
+#: Digits that the four widths of decimals hold.
+WIDTHS = {32: 9, 64: 18, 128: 38, 256: 76}
+WRAPPERS = ("{}", "Array({})", "Nullable({})", "Map(UUID, {})", "Map({}, Bool)", "Tuple(Int8, {})", "Tuple(left {}, right Date)", "Array(Tuple({}))", "LowCardinality({})", "Array(Nullable({}))")
 
 
-@pytest.mark.parametrize("text", NORMAL)
-def test_normalize(text):
-    assert types.normalize(text) == NORMAL[text]
+def width_of(precision):
+    return next(width for width, digits in WIDTHS.items() if precision <= digits)
 
 
-@pytest.mark.parametrize(
-    "client, server, fits",
-    [("Decimal32", "Decimal(9, 2)", True), ("Decimal64", "Decimal(18, 4)", True), ("Decimal128", "Decimal(38, 0)", True), ("Decimal32", "Decimal(19, 0)", False), ("Int32", "Int32", True), ("Int32", "Int64", False), ("Array(Decimal32)", "Array(Decimal(9, 4))", True), ("String", "LowCardinality(String)", False)],
-)
-def test_compatible(client, server, fits):
-    assert types.is_compatible(client, server) is fits
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_decimals_are_normalized_by_width(wrapper):
+    for precision in range(1, 77):
+        for scale in {0, precision // 2, precision}:
+            for comma in (",", ", ", " , "):
+                assert types.normalize(wrapper.replace("{}", f"Decimal({precision}{comma}{scale})")) == wrapper.replace("{}", f"Decimal{width_of(precision)}")
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_parameters_without_meaning_for_the_wire_are_left_out(wrapper):
+    for text, bare in (("DateTime('Asia/Tokyo')", "DateTime"), ("DateTime64(6, 'Asia/Tokyo')", "DateTime64(6)"), ("Enum16('low' = -3, 'high' = 700)", "Enum16"), ("Enum8('x' = 5)", "Enum8")):
+        assert types.normalize(wrapper.replace("{}", text)) == wrapper.replace("{}", bare)
+    for name in SCALARS:
+        assert types.normalize(wrapper.replace("{}", name)) == wrapper.replace("{}", name)
+    assert types.normalize("not a type") == "not a type"
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_compatible_is_equal_after_normalizing(wrapper):
+    put = lambda name: wrapper.replace("{}", name)
+    for width in WIDTHS:
+        for precision in (1, 9, 10, 18, 19, 38, 39, 76):
+            assert types.is_compatible(put(f"Decimal{width}"), put(f"Decimal({precision}, 1)")) is (width == width_of(precision))
+    for a in SCALARS:
+        for b in SCALARS[::5]:
+            assert types.is_compatible(put(a), put(b)) is (a == b)
 
 
 def test_hints():
