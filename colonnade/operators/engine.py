@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.core.rdd import _load_from_socket
@@ -75,7 +78,8 @@ class ResultColumn:
 class SelectQuery:
     """SQL text, expected columns (none: whatever comes) and what to call with each block.
 
-    ``kind`` tags the blocks, so that totals and extremes are told from data.
+    Totals (grand sums of the named columns) and extremes are taken while the data pass by and come after them, to callbacks of their own, so that they are
+    told from data. ``on_progress`` is called after each block with what has come so far, ``on_profile`` at the end.
     """
 
     body: str
@@ -88,6 +92,24 @@ class SelectQuery:
     extremes: bool = False
     on_totals: Callable[[Block], None] | None = None
     on_extremes: Callable[[Block], None] | None = None
+    on_progress: Callable[[Progress], None] | None = None
+    on_profile: Callable[[Profile], None] | None = None
+
+
+@dataclass(frozen=True)
+class Progress:
+    """What has been read of a result so far, and how long that took."""
+
+    rows: int
+    bytes: int
+    seconds: float
+
+
+@dataclass(frozen=True)
+class Profile(Progress):
+    """A whole result."""
+
+    blocks: int
 
 
 @dataclass
@@ -117,6 +139,9 @@ class ServerInfo:
     version: str
     time_zone: str
     database: str
+    #: Host and port of the driver, and the version as one number.
+    address: str = ""
+    revision: int = 0
 
 
 def _plain(kind: T.DataType) -> T.DataType:
@@ -248,7 +273,9 @@ class Engine:
 
     @property
     def server(self) -> ServerInfo:
-        return ServerInfo("Apache Spark", self.spark.version, self.spark.conf.get("spark.sql.session.timeZone"), self.spark.catalog.currentDatabase())
+        host, port = (self.spark.conf.get(f"spark.driver.{x}", "") for x in ("host", "port"))
+        numbers = [int(x) for x in re.findall(r"\d+", self.spark.version)[:3]]
+        return ServerInfo("Apache Spark", self.spark.version, self.spark.conf.get("spark.sql.session.timeZone"), self.spark.catalog.currentDatabase(), f"{host}:{port}" if port else host, sum(n * 1000**i for i, n in enumerate(reversed(numbers))))
 
     def close(self) -> None:
         self.spark.stop()
@@ -278,10 +305,7 @@ class Engine:
         try:
             for s in settings:
                 key = SETTINGS.get(s.key, s.key)
-                known = s.key in SETTINGS or conf.get(key, None) is not None
-                if not known and s.important:
-                    raise SettingError(f"the session does not know the setting {s.key!r}")
-                if known:
+                if self._known(s):
                     before.setdefault(key, conf.get(key, None))
                     conf.set(key, s.value)
             yield
@@ -323,20 +347,34 @@ class Engine:
         return [*settings, *(Setting(k, v) for k, v in own.items())]
 
     def frame(self, query: SelectQuery) -> DataFrame:
-        """A query as a DataFrame, its columns checked; nothing runs yet."""
+        """A query as a DataFrame, its columns checked; nothing runs yet. Settings hold while ``select``, ``blocks`` and the streams run a query; a DataFrame runs
+        later, under the session's. An important setting that the session does not know is an error here, too."""
+        for s in self._settings(query.body, query.settings):
+            self._known(s)
         body = self._text(query.body)
         df = self.spark.sql(body, query.args) if query.args else self.spark.sql(body)
         check_schema(df.schema, query.results)
         return df
 
+    def _known(self, s: Setting) -> bool:
+        if s.key in SETTINGS or self.spark.conf.get(s.key, None) is not None:
+            return True
+        if s.important:
+            raise SettingError(f"the session does not know the setting {s.key!r}")
+        return False
+
     def blocks(self, query: SelectQuery) -> Iterator[Block]:
         """The non-empty blocks of a result. A null in a column that was declared without nulls is an error."""
+        yield from (block for block, _ in self._blocks(query))
+
+    def _blocks(self, query: SelectQuery, begin: Callable[[DataFrame], None] = lambda df: None) -> Iterator[tuple[Block, pa.RecordBatch]]:
         with self._query(query.query_id, self._settings(query.body, query.settings)):
             df = self.frame(query)
+            begin(df)
             nodes = check_schema(df.schema, query.results)
             names = df.schema.names
             for batch in arrow_batches(df):
-                yield self._block(batch, names, nodes, bool(query.results))
+                yield self._block(batch, names, nodes, bool(query.results)), batch
 
     @staticmethod
     def _block(batch: pa.RecordBatch, names: list[str], nodes: list[types.TypeNode], declared: bool) -> Block:
@@ -348,26 +386,28 @@ class Engine:
 
     def select(self, query: SelectQuery) -> int:
         """Runs a query, calls ``on_block`` with every non-empty block, and returns the number of rows. Statements without a result
-        give 0. Totals (grand sums of the named columns) and extremes come after the data, to callbacks of their own."""
-        rows = 0
-        for block in self.blocks(query):
-            rows += block.rows
+        give 0."""
+        rows = size = blocks = 0
+        ends: list[_Ends] = []
+        began = time.monotonic()
+        for block, batch in self._blocks(query, lambda df: ends.append(_Ends(df, query))):
+            rows, size, blocks = rows + block.rows, size + batch.nbytes, blocks + 1
+            ends[0].add(batch)
             if query.on_block:
                 query.on_block(block)
-        if query.totals or query.extremes:
-            with self._query(query.query_id, query.settings):
-                df = self.frame(query)
-                if query.totals and query.on_totals:
-                    self._one_block(df.agg(*(F.sum(c).alias(c) for c in query.totals)), query.on_totals)
-                if query.extremes and query.on_extremes:
-                    ends = [df.agg(*(f(c).alias(c) for c in df.columns)) for f in (F.min, F.max)]
-                    self._one_block(ends[0].unionByName(ends[1]), query.on_extremes)
+            if query.on_progress:
+                query.on_progress(Progress(rows, size, time.monotonic() - began))
+        if query.on_totals and query.totals:
+            query.on_totals(ends[0].totals())
+        if query.on_extremes and query.extremes:
+            query.on_extremes(ends[0].extremes())
+        if query.on_profile:
+            query.on_profile(Profile(rows, size, time.monotonic() - began, blocks))
         return rows
 
-    def _one_block(self, df: DataFrame, deliver: Callable[[Block], None]) -> None:
-        table = df.toArrow().combine_chunks()
-        nodes = [types.of_spark(f.dataType, True, f.metadata) for f in df.schema.fields]
-        deliver(self._block(table.to_batches()[0], df.columns, nodes, False))
+    def table_columns(self, table: str) -> list[InputColumn]:
+        """The columns of a table, by name and type, ready to be filled and inserted."""
+        return [InputColumn(f.name, str(types.of_spark(f.dataType, f.nullable, f.metadata))) for f in self.spark.table(table).schema.fields]
 
     def execute(self, body: str, settings: Sequence[Setting] = (), query_id: str = "") -> None:
         """Runs a statement without a result, such as CREATE or DROP."""
@@ -417,6 +457,53 @@ class Engine:
         return [dict(v) if node.name == "Map" else v for v in values]
 
 
+class _Ends:
+    """Sums of some columns, and the least and largest values of all, of a result that passes by. Nulls do not count, nor do NaNs for extremes unless there is nothing else."""
+
+    def __init__(self, df: DataFrame, query: SelectQuery):
+        self.names = df.schema.names
+        self.sums = {c: None for c in query.totals} if query.on_totals else {}
+        if unknown := [c for c in self.sums if c not in self.names]:
+            raise SchemaMismatchError(f"no columns {unknown} to total")
+        self.ends: list[list] | None = [[None, None] for _ in self.names] if query.extremes and query.on_extremes else None
+        summed = df.agg(*(F.sum(c) for c in self.sums)).schema.fields if self.sums else []
+        self.sum_types = [types.of_spark(f.dataType, True, f.metadata) for f in summed]
+        self.types = [types.of_spark(f.dataType, True, f.metadata) for f in df.schema.fields]
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        for name, held in self.sums.items():
+            values = batch.column(self.names.index(name)).drop_null()
+            if len(values):
+                self.sums[name] = _whole_sum(values) + (held or 0)
+        for ends, values in zip(self.ends or (), batch.columns, strict=False):
+            values = values.drop_null()
+            if not len(values):
+                continue
+            if pa.types.is_nested(values.type):
+                listed = values.to_pylist()
+                found = [f(listed, key=repr) if pa.types.is_map(values.type) or pa.types.is_struct(values.type) else f(listed) for f in (min, max)]
+            else:
+                found = list(pc.min_max(values).as_py().values())
+            for k, f in enumerate((min, max)):
+                ends[k] = found[k] if ends[k] is None or ends[k] != ends[k] else f(ends[k], found[k])
+
+    def totals(self) -> Block:
+        return Block(list(self.sums), self.sum_types, [[v] for v in self.sums.values()], 1)
+
+    def extremes(self) -> Block:
+        return Block(self.names, self.types, self.ends or [], 2)
+
+
+def _whole_sum(values: pa.Array) -> object:
+    """A sum that does not overflow: integers in two halves, decimals as wide ones."""
+    if pa.types.is_integer(values.type):
+        x = values.to_numpy(zero_copy_only=False).astype(np.int64)
+        return (int((x >> 32).sum()) << 32) + int((x & 0xFFFFFFFF).sum())
+    if pa.types.is_decimal(values.type):
+        return pc.sum(values.cast(pa.decimal256(76, values.type.scale))).as_py()
+    return pc.sum(values).as_py()
+
+
 _INSERT = re.compile(r"\s*INSERT\s+INTO\s+(?:TABLE\s+)?(?P<table>`[^`]+`(?:\.`[^`]+`)*|[\w.]+)\s*(?:\((?P<columns>[^)]*)\))?\s*(?:VALUES|FORMAT\s+\w+)?\s*;?\s*", re.I)
 
 
@@ -429,4 +516,4 @@ def parse_insert(body: str) -> tuple[str, list[str]]:
     return found["table"], columns
 
 
-__all__ = ["BLOCK_ROWS", "Engine", "EngineOptions", "InputColumn", "InsertQuery", "ResultColumn", "SelectQuery", "ServerInfo", "Setting", "arrow_batches", "check_schema", "numbered", "parse_host_port", "parse_insert"]
+__all__ = ["BLOCK_ROWS", "Engine", "EngineOptions", "InputColumn", "InsertQuery", "Profile", "Progress", "ResultColumn", "SelectQuery", "ServerInfo", "Setting", "arrow_batches", "check_schema", "numbered", "parse_host_port", "parse_insert"]

@@ -87,6 +87,36 @@ def test_totals_and_extremes_are_apart(engine):
     assert rows == 10 and list(seen["t"]) == [45] and list(seen["e"]) == [0, 9]
 
 
+def test_totals_come_with_the_data(engine, spark):
+    """The query runs once: a value that differs from run to run is totalled as it was delivered."""
+    seen, told = [], {}
+    text = "SELECT rand() AS r, number AS n, if(number % 3 = 0, NULL, number * 0.25D) AS x, CAST(number AS DECIMAL(20, 2)) AS d, toString(number) AS s, array(number) AS a FROM numbers(1000) SETTINGS max_block_size = 64"
+    progress, profile = [], []
+    engine.select(SelectQuery(text, on_block=seen.append, totals=["r", "n", "x", "d"], extremes=True, on_totals=lambda b: told.update(t=b), on_extremes=lambda b: told.update(e=b), on_progress=progress.append, on_profile=profile.append))
+    column = lambda i: [v for b in seen for v in (b.values[i].tolist() if isinstance(b.values[i], np.ndarray) else b.values[i]) if v is not None]
+    assert [v[0] for v in told["t"].values] == [pytest.approx(sum(column(0))), 499500, pytest.approx(sum(column(2))), Decimal("499500.00")]
+    assert [str(t) for t in told["t"].types] == ["Nullable(Float64)", "Nullable(Int64)", "Nullable(Float64)", "Nullable(Decimal(30, 2))"]
+    assert told["e"].values == [[min(column(i)), max(column(i))] for i in range(6)]
+    assert profile[0].rows == progress[-1].rows == 1000 and profile[0].blocks == len(seen) == len(progress) and profile[0].bytes == progress[-1].bytes > 8000
+    with pytest.raises(SchemaMismatchError):
+        engine.select(SelectQuery("SELECT 1 AS x", totals=["y"], on_totals=print))
+    engine.select(SelectQuery("SELECT number AS n FROM numbers(0)", totals=["n"], extremes=True, on_totals=lambda b: told.update(t=b), on_extremes=lambda b: told.update(e=b)))
+    assert told["t"].values == [[None]] and told["e"].values == [[None, None]]
+
+
+def test_json_is_checked(engine):
+    assert collected(engine, """SELECT CAST('{"a": [1,  2]}' AS JSON) AS j""")[0].values[0] == ['{"a":[1,2]}']
+    with pytest.raises(QueryError):
+        collected(engine, "SELECT CAST('{a' AS JSON) AS j")
+
+
+def test_server_and_table_columns(engine, table):
+    assert engine.server.address and engine.server.revision >= 4_000_000
+    assert [(c.name, c.type) for c in engine.table_columns(table)] == [("id", "Nullable(Int32)"), ("name", "Nullable(String)"), ("score", "Nullable(Float64)")]
+    with pytest.raises(SettingError):
+        engine.frame(SelectQuery("SELECT 1 AS x", settings=[Setting("nobody_knows", "1", important=True)]))
+
+
 def test_errors_keep_cause_and_condition(engine):
     with pytest.raises(QueryError) as wrong:
         engine.select(SelectQuery("SELECT nothing FROM nowhere"))
