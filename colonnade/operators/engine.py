@@ -442,14 +442,15 @@ class Engine:
             return 0
         checked = [self._through_codec(c) for c in columns]
         schema = T.StructType([T.StructField(name, target[name].dataType, True) for name in names])
-        block = self.spark.createDataFrame(list(zip(*checked, strict=True)), schema)
+        flat = all(not isinstance(f.dataType, T.ArrayType | T.MapType | T.StructType | T.DayTimeIntervalType | T.YearMonthIntervalType | T.TimestampType) for f in schema.fields)
+        block = self.spark.createDataFrame(pa.table([pa.array(v, f.type) for v, f in zip(checked, to_arrow_schema(schema), strict=True)], to_arrow_schema(schema)) if flat else list(zip(*checked, strict=True)), schema)
         missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields if f.name not in names]
         block.select("*", *missing).select(target.names).write.insertInto(table)
         return n
 
     @staticmethod
-    def _through_codec(column: InputColumn) -> list:
-        """The values as the column's type holds them: rounded, truncated or refused as it does."""
+    def _through_codec(column: InputColumn) -> Sequence:
+        """The values as the column's type holds them: rounded, truncated or refused as it does. They go on as arrays, and as rows only where they are nested."""
         node, out = types.parse(column.type), Writer()
         encode(node, column.values, out)
         values = decode(node, Reader(out.take()), len(column.values))

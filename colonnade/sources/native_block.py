@@ -148,16 +148,17 @@ class BlockWriter(DataSourceArrowWriter):
     def commit(self, messages: list[Written | None]) -> None:
         os.makedirs(self.folder, exist_ok=True)
         new = {m.path for m in messages if m and m.path}
-        if self.overwrite:
-            for old in files(self.folder):
-                os.remove(old)
+        old = files(self.folder) if self.overwrite else []
         if not new:
             path = os.path.join(self.folder, f"_part-{uuid.uuid4().hex}{SUFFIX}")
             with open(path, "wb") as file:  # the schema of a table without rows
                 file.write(encode_block(self.schema.names, self.kinds, [[] for _ in self.kinds]))
             new.add(path)
+        # Old files go when the new ones are there: a driver that dies in between leaves both, never neither.
         for path in new:
             os.rename(path, os.path.join(self.folder, os.path.basename(path)[1:]))
+        for path in old:
+            os.remove(path)
 
     def abort(self, messages: list[Written | None]) -> None:
         for m in messages:
