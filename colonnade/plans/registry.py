@@ -117,39 +117,38 @@ def mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""SELECT CAST(200 AS BIGINT) AS n, CAST(sum(range) AS BIGINT) AS ids, CAST(count(*) FILTER (WHERE range % 2 = 0) AS BIGINT) AS evens, CAST(sum(range * 2 + 0.5) AS DOUBLE) AS score FROM range(200)""")
+@query("SELECT n_nationkey AS id, 'nation ' || n_name AS name, CAST(n_regionkey * 2 + 0.5 AS DOUBLE) AS score FROM nation")
 def insert_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two blocks inserted into a managed table, read back and dropped."""
+    """The nations inserted block by block into a managed table; the rows that it then has."""
     engine, table = engine_of(spark), f"inserted_{uuid.uuid4().hex}"
-    engine.execute(f"CREATE TABLE {table} (id INT, name STRING, score DOUBLE) USING parquet")
+    nations = [tuple(r) for r in read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey").collect()]
+    engine.execute(f"CREATE TABLE {table} (id BIGINT, name STRING, score DOUBLE) USING parquet")
     try:
-        columns = [InputColumn("id", "Int32"), InputColumn("name", "String"), InputColumn("score", "Float64")]
-
-        def fill(start: int) -> None:
-            columns[0].values = list(range(start, start + 100))
-            columns[1].values = ["even" if i % 2 == 0 else "odd" for i in columns[0].values]
-            columns[2].values = [i * 2 + 0.5 for i in columns[0].values]
-
-        def more() -> bool:
-            if columns[0].values[0]:
-                return False
-            fill(100)
-            return True
-
-        fill(0)
-        engine.insert(InsertQuery(f"INSERT INTO {table} VALUES", columns, more))
-        row = spark.sql(f"SELECT count(*), sum(id), count_if(name = 'even'), sum(score) FROM {table}").first()
+        columns = [InputColumn("id", "Int64"), InputColumn("name", "String"), InputColumn("score", "Float64")]
+        blocks = iter([nations[at : at + 10] for at in range(0, len(nations), 10)])
+
+        def fill() -> bool:
+            block = next(blocks, [])
+            columns[0].values = [k for k, _, _ in block]
+            columns[1].values = [f"nation {n}" for _, n, _ in block]
+            columns[2].values = [r * 2 + 0.5 for _, _, r in block]
+            return bool(block)
+
+        if fill():
+            engine.insert(InsertQuery(f"INSERT INTO {table} VALUES", columns, fill))
+        rows = [tuple(r) for r in spark.table(table).collect()]
     finally:
         engine.execute(f"DROP TABLE IF EXISTS {table}")
-    return one_row(spark, dict(zip(("n", "ids", "evens", "score"), zip(("long", "long", "long", "double"), row, strict=True), strict=True)))
+    return spark.createDataFrame(rows, "id long, name string, score double")
 
 
 @query("""SELECT CAST(number AS INTEGER) AS a, CAST(number // 3 * 3 AS BIGINT) AS b, 'x' || number AS c, CASE WHEN number % 2 = 0 THEN -1 ELSE number END AS d, CAST(CAST(trunc(number * 1.239 * 100) / 100 AS DECIMAL(9, 2)) AS DOUBLE) AS e,
- CASE number % 2 WHEN 0 THEN 'off' ELSE 'on' END AS f, CAST(coalesce(list_sum(range(number % 5)), 0) AS BIGINT) AS g FROM (SELECT range AS number FROM range(500))""")
+ CASE number % 2 WHEN 0 THEN 'off' ELSE 'on' END AS f, CAST(coalesce(list_sum(range(number % 5)), 0) AS BIGINT) AS g FROM (SELECT event_id AS number FROM events)""")
 def surface_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The query surface's own spellings, translated."""
+    read(spark, sf_dir, "events").select(F.col("event_id").alias("number")).createOrReplaceTempView("surface_events")
     text = """SELECT toInt32(number) AS a, intDiv(number, 3) * 3 AS b, concat('x', toString(number)) AS c, ifNull(if(number % 2 = 0, NULL, number), toInt64(-1)) AS d,
-    toDecimal32(number * 1.239, 2) AS e, CAST(number % 2 AS Enum8('off' = 0, 'on' = 1)) AS f, aggregate(arrayMap(x -> toInt64(x), range(number % 5)), toInt64(0), (s, x) -> s + x) AS g FROM numbers(500) SETTINGS max_block_size = 65536"""
+    toDecimal32(number * 1.239, 2) AS e, CAST(number % 2 AS Enum8('off' = 0, 'on' = 1)) AS f, aggregate(arrayMap(x -> toInt64(x), range(number % 5)), toInt64(0), (s, x) -> s + x) AS g FROM surface_events SETTINGS max_block_size = 65536"""
     made = Engine(spark).frame(SelectQuery(text, [ResultColumn("Int32", "a"), ResultColumn("Int64", "b"), ResultColumn("String"), ResultColumn("Int64"), ResultColumn("Decimal(9, 2)"), ResultColumn("String"), ResultColumn("Int64")]))
     return made.withColumn("e", F.col("e").cast("double"))
 
@@ -397,7 +396,7 @@ plain(
     """SELECT r_name, CAST(round(sum(l_extendedprice * (1 - l_discount)), 2) AS DOUBLE) AS revenue FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey
     JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey GROUP BY r_name""",
 )
-plain("customers_without_orders", "SELECT c_custkey, c_name FROM {customer} WHERE NOT EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = c_custkey)")
+plain("customers_without_large_orders", "SELECT c_custkey, c_name FROM {customer} WHERE NOT EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = c_custkey AND o_totalprice > 400000)")
 plain("customers_with_large_orders", "SELECT c_custkey FROM {customer} WHERE c_custkey IN (SELECT o_custkey FROM {orders} WHERE o_totalprice > 200000)")
 plain(
     "order_ranks",
