@@ -226,11 +226,13 @@ def array_offsets(arrays: Column | str) -> Column:
     return F.transform(lengths, lambda _, i: F.aggregate(F.slice(lengths, F.lit(1), i + 1), F.lit(0).cast("bigint"), lambda a, x: a + x))
 
 
-def pairs_map(pairs: Column | str, key: str = "key") -> Column:
-    """A map of key-value pairs in which the last of equal keys wins, whatever the session's policy; ``key`` names their first field."""
-    pairs = _col(pairs)
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs) - i - 1, F.lit(0))), lambda q: q[key] == p[key]))
-    return F.map_from_entries(last)
+def pairs_map(pairs: Column | str, key: str = "key", value: str = "value") -> Column:
+    """A map of key-value pairs in which the last of equal keys wins, whatever the session's policy; ``key`` and ``value`` name their fields. Pairs are sorted by key and place, so
+    the work grows hardly faster than their number."""
+    placed = F.array_sort(F.transform(_col(pairs), lambda p, i: F.struct(p[key].alias("k"), i.alias("i"), p[value].alias("v"))))
+    # A transform over an array of one binds the sorted pairs, which an inner function would work out again for each.
+    last = F.transform(F.array(placed), lambda s: F.filter(s, lambda p, i: (i + 1 == F.size(s)) | (F.get(s, i + 1)["k"] != p["k"])))
+    return F.map_from_entries(F.transform(F.element_at(last, 1), lambda p: F.struct(p["k"].alias("key"), p["v"].alias("value"))))
 
 
 def key_width(distinct: Column | str) -> Column:

@@ -13,7 +13,7 @@ from .. import types
 from ..functions import values as V
 from ..functions.cityhash import cityhash128_col
 from ..operators import drain, retry
-from ..operators.engine import Engine, EngineOptions, InputColumn, InsertQuery, ResultColumn, SelectQuery, check_schema
+from ..operators.engine import Engine, EngineOptions, InputColumn, InsertQuery, ResultColumn, SelectQuery, Setting, check_schema
 from ..sources.block import decode_block, encode_block
 from ..sources.wire import Reader
 from ..streaming import stream
@@ -241,6 +241,25 @@ def retried_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_row(spark, {"n": ("long", held[0]), "keys": ("long", held[1]), "quantity": ("double", round(held[2], 2))})
 
 
+@query("""SELECT count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, CAST(sum(o_orderkey) AS BIGINT) AS total, min(o_orderkey) AS least, max(o_orderkey) AS largest, max(o_orderdate) AS latest, TRUE AS in_blocks, count(*) AS told
+ FROM orders WHERE o_orderstatus <> 'P'""")
+def column_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns streamed block by block under a setting, with totals, extremes, progress and profile of the same run."""
+    read(spark, sf_dir, "orders").createOrReplaceTempView("stream_orders")
+    sizes, held, told = [], [0, 0], {}
+
+    def add(block) -> None:
+        sizes.append(block.rows)
+        held[0], held[1] = held[0] + block.rows, held[1] + int(np.sum(block.values[0]))
+
+    text = "SELECT o_orderkey, o_orderdate FROM stream_orders WHERE o_orderstatus <> 'P'"
+    engine, setting = engine_of(spark), [Setting("max_block_size", "1000", important=True)]
+    stream.columns(engine, SelectQuery(text, settings=setting), add)
+    engine.select(SelectQuery(text, settings=setting, totals=["o_orderkey"], extremes=True, on_totals=lambda b: told.update(total=b.values[0][0]), on_extremes=lambda b: told.update(ends=b.values), on_profile=lambda p: told.update(rows=p.rows)))
+    keys, dates = told["ends"]
+    return one_row(spark, {"n": ("long", held[0]), "keys": ("long", held[1]), "total": ("long", told["total"]), "least": ("long", keys[0]), "largest": ("long", keys[1]), "latest": ("timestamp_ntz", dates[1]), "in_blocks": ("boolean", max(sizes) <= 1000), "told": ("long", told["rows"])})
+
+
 @query("SELECT count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS customers, CAST(round(max(o_totalprice), 2) AS DOUBLE) AS most FROM orders WHERE o_orderstatus = 'F'")
 def counted_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two columns drained into arrays of exactly the counted size."""
@@ -298,6 +317,56 @@ def interval_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select("o_orderkey", (date + V.interval(key % 7, "IntervalDay")).alias("later"), (date + V.interval(key % 3, "IntervalWeek")).alias("weeks"), (date + V.interval(key % 5, "IntervalQuarter")).alias("quarters"))
 
 
+@query("SELECT event_id, CAST(epoch_us(ts) // 1000 AS BIGINT) AS millis, epoch_ms(epoch_us(ts) // 1000) AS from_millis, epoch_ms(epoch_us(ts) // 1000000 * 1000) AS from_seconds, make_timestamp(epoch_us(ts)) AS from_nanos FROM events")
+def datetime_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks of several scales as timestamps again."""
+    rows = read(spark, sf_dir, "events").select("event_id", V.datetime64_ticks("ts", 3).alias("millis"), V.datetime_seconds("ts").alias("seconds"), V.datetime64_ticks("ts", 9).alias("nanos"))
+    plain_time = lambda c: c.cast("timestamp_ntz")
+    return rows.select("event_id", "millis", plain_time(V.datetime64_of("millis", 3)).alias("from_millis"), plain_time(V.datetime_of("seconds")).alias("from_seconds"), plain_time(V.datetime64_of("nanos", 9)).alias("from_nanos"))
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(CAST(trunc(CAST(l_extendedprice AS DECIMAL(18, 4)) * 100) AS DECIMAL(18, 0)) / 100 AS DOUBLE) AS price, CAST(-l_orderkey / 1000.0 AS DOUBLE) AS below FROM lineitem")
+def decimal_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals of their mantissas, also below zero."""
+    price = F.col("l_extendedprice").cast("decimal(18,4)")
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", V.decimal_of(V.decimal_mantissa(price, 2), 18, 2).cast("double").alias("price"), V.decimal_of(-F.col("l_orderkey"), 18, 3).cast("double").alias("below"))
+
+
+@query("SELECT event_id, event_type AS name, CASE event_type WHEN 'click' THEN -300 WHEN 'view' THEN 300 WHEN 'purchase' THEN 0 ELSE NULL END AS number FROM events")
+def enum_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of a 16-bit enum that does not have every name."""
+    kind = types.enum_string("Enum16", {"click": -300, "purchase": 0, "view": 300})
+    return read(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("name"), V.enum_value("event_type", kind, strict=False).alias("number"))
+
+
+@query("SELECT n, '2001:db8::' || format('{:x}', n) AS address, '20010DB8' || repeat('0', 20) || upper(lpad(format('{:x}', n), 4, '0')) AS bytes FROM (SELECT DISTINCT user_id % 65535 + 1 AS n FROM events)")
+def ipv6_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses as bytes and as their shortest text."""
+    users = read(spark, sf_dir, "events").select((F.col("user_id") % 65535 + 1).alias("n")).distinct()
+    made = users.select("n", V.ipv6_bytes(F.concat(F.lit("2001:0db8:0:0:0:0:0:"), F.lower(F.hex("n")))).alias("bytes"))
+    return made.select("n", V.ipv6_text("bytes").alias("address"), F.hex("bytes").alias("bytes"))
+
+
+@query("SELECT o_custkey, o_orderkey, array_to_string([1, 1 + o_orderkey % 3, 1 + o_orderkey % 3 + 2], ',') AS ends FROM orders")
+def array_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the arrays of an array end in their concatenation."""
+    key = F.col("o_orderkey")
+    arrays = F.array(F.array(key), V.zero_to(key % 3), F.array(key, key))
+    return read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.array_join(F.transform(V.array_offsets(arrays), lambda x: x.cast("string")), ",").alias("ends"))
+
+
+@query("""SELECT user_id, hours, CAST(count(*) AS INTEGER) AS n, string_agg(event_type || '=' || event_id, ',' ORDER BY event_type) AS last_of FROM
+ (SELECT user_id, event_type, max(event_id) AS event_id, max(count(*)) OVER (PARTITION BY user_id) AS hours FROM events GROUP BY user_id, event_type) GROUP BY user_id, hours""")
+def map_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's events by type as a map of pairs, in which the last of a type wins; its keys, values and size."""
+    events = read(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
+    most = events.groupBy("user_id", "event_type").count().groupBy("user_id").agg(F.max("count").alias("hours"))
+    pairs = events.groupBy("user_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("event_id", "event_type"))), lambda x: F.struct(x["event_type"].alias("key"), x["event_id"].alias("value"))).alias("pairs"))
+    made = pairs.join(most, "user_id").select("user_id", "hours", V.pairs_map("pairs").alias("m"))
+    told = F.array_sort(F.zip_with(F.map_keys("m"), F.map_values("m"), lambda k, v: F.concat(k, F.lit("="), v.cast("string"))))
+    return made.select("user_id", "hours", F.size("m").alias("n"), F.array_join(told, ",").alias("last_of"))
+
+
 @query("SELECT user_id, n, concat_ws('.', n & 255, (n >> 8) & 255, (n >> 16) & 255, (n >> 24) & 255) AS address, n AS back FROM (SELECT DISTINCT user_id, (user_id * 2654435) % 4294967296 AS n FROM events)")
 def ipv4_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = read(spark, sf_dir, "events").select("user_id", ((F.col("user_id") * 2654435) % 4294967296).alias("n")).distinct()
@@ -415,8 +484,13 @@ plain(
 @query("""SELECT e.event_id, coalesce(p.event_id, -1) AS purchase FROM (SELECT * FROM events WHERE event_type <> 'purchase') e ASOF LEFT JOIN
  (SELECT user_id, ts, max(event_id) AS event_id FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts) p ON e.user_id = p.user_id AND e.ts >= p.ts""")
 def last_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For every event the user's last purchase at or before it: one shuffle by user, no range join."""
-    events = read(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    """For every event the user's last purchase at or before it, without a range join. Windows run over a user's day, and over the days of a user, one row each, to carry the
+    last purchase on; so a user with very many events is spread over days."""
+    events = read(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", F.to_date("ts").alias("day"))
     bought = F.col("event_type") == "purchase"
-    upto = Window.partitionBy("user_id").orderBy("ts", F.when(bought, 0).otherwise(1), "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return events.withColumn("purchase", F.last(F.when(bought, F.col("event_id")), ignorenulls=True).over(upto)).where(~bought).select("event_id", F.coalesce("purchase", F.lit(-1)).alias("purchase"))
+    upto = Window.partitionBy("user_id", "day").orderBy("ts", F.when(bought, 0).otherwise(1), "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy("user_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    daily = events.groupBy("user_id", "day").agg(F.max(F.when(bought, F.struct("ts", "event_id")))["event_id"].alias("last"))
+    carried = daily.select("user_id", "day", F.last("last", ignorenulls=True).over(before).alias("carried"))
+    own = events.withColumn("purchase", F.last(F.when(bought, F.col("event_id")), ignorenulls=True).over(upto)).where(~bought)
+    return own.join(carried, ["user_id", "day"]).select("event_id", F.coalesce("purchase", "carried", F.lit(-1)).alias("purchase"))
