@@ -392,6 +392,20 @@ def bf16_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select("event_id", V.bf16_bits(F.col("value").cast("float")).alias("bits"), V.to_bfloat16("value").alias("rounded"))
 
 
+# Hashes of the published algorithm, low and high half.
+_HASHED = {
+    "": (0x3DF09DFC64C09A2B, 0x3CB540C392E51E29), "a": (0xD27139A1AFE01AD0, 0xFD7E8EE2E4C86CF6), "1234567": (0x8E8777E875B97597, 0x8852D1373EB8453B), "12345678": (0x1D7757A6DD6FD9F3, 0x7282A0F9C3847A18),
+    "123456789012345": (0xA7ACA61EF9AD6954, 0x69A896E8852A795B), "1234567890123456": (0xE17786877893C752, 0x983B6DB3A5DADD06), "12345678901234567": (0xAC84E9F3D9B62F76, 0x20C27ED832020C63),
+}
+
+
+@query("SELECT n_nationkey, t.text, t.hash FROM nation, (VALUES " + ", ".join(f"('{k}', '{(a.to_bytes(8, 'little') + b.to_bytes(8, 'little')).hex().upper()}')" for k, (a, b) in _HASHED.items()) + ") t(text, hash)")
+def cityhash_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts whose hashes are published, beside every nation."""
+    texts = F.explode(F.array(*map(F.lit, _HASHED))).alias("text")
+    return read(spark, sf_dir, "nation").select("n_nationkey", texts).select("n_nationkey", "text", F.hex(cityhash128_col(F.col("text").cast("binary"))).alias("hash"))
+
+
 @query(None)
 def cityhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", F.hex(cityhash128_col(F.col("p_name").cast("binary"))).alias("hash"))
