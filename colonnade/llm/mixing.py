@@ -6,9 +6,9 @@ dimensions and scales each level's factor by its target over what would stay of
 cannot meet its target is kept whole (its factor grows until its cells are at 1), and the rest is raked around it; so a rare source, however far
 from its target, thins no other. A document stays with its cell's probability.
 
-Everything is DataFrame and SQL expressions, one plan for all sizes: cells and factors are tables; a step sums the cells of each level, in
-parts first, and writes the factors of one dimension. Factors and cells meet by broadcast where they have ``SMALL`` rows at most, which is counted, and otherwise in
-a join that is dealt by the level and splits hot ones. Documents are read twice; nothing of them is shuffled as long as the cells are few.
+Everything is DataFrame and SQL expressions over the table of cells, whose number is counted. Up to ``FEW`` of them are raked in one task, by window sums, and
+broadcast to the documents. More - sources may be web hosts - are raked by the same steps as tables: sums of each level in parts first, joined back, each
+step written out; and documents meet them in a join that splits hot cells. Documents are read twice; nothing of them is shuffled as long as the cells are few.
 
 ``SWEEPS`` sweeps are made. How far the marginals then are from their targets is measured, and a warning says so if it is over ``TOLERANCE`` of what stays.
 
@@ -25,7 +25,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import durable, packed_row, skew_join, stored, unpacked_row
@@ -41,10 +41,8 @@ SEED = 20
 LEFT = 1e-9
 #: The largest factor: that of levels that are whole long since.
 MOST = 1e30
-#: Rows (a few names and numbers each) up to which a table of cells or levels is broadcast.
-SMALL = 50_000
-#: Cells that one task rakes.
-PART = 100_000
+#: Cells that are raked in one task and joined to documents by broadcast; a cell is three short names and a few numbers.
+FEW = 50_000
 #: Words, as the token count of a document. The class is spelt out since engines differ in what \s covers.
 WORDS = r"[^ \t\n\r]+"
 
@@ -75,29 +73,30 @@ def level(name: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit(""))
 
 
-def met(left: DataFrame, right: DataFrame, key: str, rows: int) -> DataFrame:
-    """left join right on a key of which right has ``rows`` rows."""
-    return left.join(F.broadcast(right), key) if rows <= SMALL else skew_join(left, right, key)
-
-
-def goals(cells: DataFrame, dim: str, rule: float | Mapping[str, float], total: int) -> DataFrame:
-    """key, mass and target share of every level of a dimension."""
-    levels = cells.groupBy(dim).agg(F.sum("mass").alias("mass")).withColumn("own", F.col("mass") / F.lit(float(total)))
-    if isinstance(rule, Mapping):
-        known = F.lit(None).cast("double")
-        for name, share in rule.items():
-            known = F.when(F.col(dim) == "=" + name, F.lit(float(share))).otherwise(known)
-        levels = durable(levels.withColumn("known", known))
-        given, loose = levels.agg(F.coalesce(F.sum("known"), F.lit(0.0)), F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("own"))), F.lit(0.0))).first()
-        if given > 1 - LEFT and loose > 0:
-            share = F.coalesce(F.col("known") * F.lit((1 - loose) / given), F.col("own"))
-        else:
-            share = F.coalesce(F.col("known"), F.col("own") * F.lit(max(1 - given, 0.0) / loose if loose else 0.0))
-    else:
-        share = F.pow("own", F.lit(float(rule)))
-    levels = durable(levels.withColumn("share", share))
-    whole = levels.agg(F.sum("share")).first()[0]
-    return levels.select(dim, "mass", (F.col("share") / F.lit(whole) if whole else F.lit(0.0)).alias("share"))
+def summed(cells: DataFrame, dim: str, value: Column, name: str, few: bool) -> DataFrame:
+    """``cells`` with the sum of a value over the level that each is in. A few cells lie in one partition, so a window needs no shuffle; many are summed in parts
+    first and joined back, so that a level with very many of them meets in no task."""
+    if few:
+        return cells.withColumn(name, F.sum(value).over(Window.partitionBy(dim)))
+    return skew_join(cells, cells.groupBy(dim).agg(F.sum(value).alias(name)), dim)
+
+
+def share(cells: DataFrame, dim: str, rule: float | Mapping[str, float], own: Column) -> Column:
+    """The target share of a level whose natural share is ``own``."""
+    levels = cells.groupBy(dim).agg(F.sum("mass").alias("mass"))
+    if not isinstance(rule, Mapping):
+        natural = F.col("mass") / F.lit(float(cells.agg(F.sum("mass")).first()[0]))
+        return F.pow(own, F.lit(float(rule))) / F.lit(levels.agg(F.sum(F.pow(natural, F.lit(float(rule))))).first()[0])
+    known = F.lit(None).cast("double")
+    for name, part in rule.items():
+        known = F.when(F.col(dim) == "=" + name, F.lit(float(part))).otherwise(known)
+    loose_mass = F.sum(F.when(known.isNull(), F.col("mass")))
+    given, loose = levels.agg(F.coalesce(F.sum(known), F.lit(0.0)), F.coalesce(loose_mass / F.sum("mass"), F.lit(0.0))).first()
+    if given > 1 - LEFT and loose > 0:
+        return F.coalesce(known * F.lit((1 - loose) / given), own)
+    rest = max(1 - given, 0.0) if loose else 0.0
+    whole = given + rest
+    return F.coalesce(known, own * F.lit(rest / loose if loose else 0.0)) / F.lit(whole) if whole else F.lit(0.0)
 
 
 def probabilities(masses: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, keep: float = KEEP, sweeps: int = SWEEPS) -> DataFrame:
@@ -106,34 +105,29 @@ def probabilities(masses: DataFrame, targets: Mapping[str, float | Mapping[str,
     count, total = cells.agg(F.count("*"), F.sum("mass")).first()
     if not count:
         return cells.withColumn("probability", F.lit(0.0))
-    cells = cells.coalesce(-(-count // PART))
-    factors: dict[str, DataFrame] = {}
-    sizes: dict[str, int] = {}
+    few = count <= FEW
+    cells = cells.coalesce(-(-count // FEW))
+    state = cells
     for d in DIMENSIONS:
-        goal = durable(goals(cells, d, targets[d], total))
-        sizes[d] = goal.count()
-        first = F.lit(float(keep) if d == DIMENSIONS[0] else 1.0)
-        factors[d] = goal.select(d, "mass", (F.col("share") * F.lit(keep * float(total))).alias(f"goal_{d}"), first.alias(f"f_{d}"))
+        state = summed(state, d, F.col("mass"), f"whole_{d}", few)
+        goal = share(cells, d, targets[d], F.col(f"whole_{d}") / F.lit(float(total))) * F.lit(keep * float(total))
+        state = state.withColumns({f"goal_{d}": goal, f"f_{d}": F.lit(float(keep) if d == DIMENSIONS[0] else 1.0)})
     chance = F.least(F.lit(1.0), F.col("f_source") * F.col("f_lang") * F.col("f_topic"))
-
-    def weighted() -> DataFrame:
-        out = cells
-        for d in DIMENSIONS:
-            out = met(out, factors[d].select(d, f"f_{d}"), d, sizes[d])
-        return out
-
-    def sums(d: str) -> DataFrame:
-        return weighted().groupBy(d).agg(F.sum(F.col("mass") * chance).alias("stays"))
-
     for _ in range(sweeps):
         for d in DIMENSIONS:
             scaled = F.least(F.lit(MOST), F.coalesce(F.try_divide(F.col(f"f_{d}") * F.col(f"goal_{d}"), F.col("stays")), F.lit(0.0)))
-            factors[d] = stored(met(sums(d), factors[d], d, sizes[d]).select(d, "mass", f"goal_{d}", scaled.alias(f"f_{d}")), clean=False)
+            state = summed(state, d, F.col("mass") * chance, "stays", few).withColumn(f"f_{d}", scaled).drop("stays")
+            if not few:
+                state = stored(state, clean=False)
+    state = durable(state) if few else state
     # Levels that are not whole should have met their targets.
-    off = [met(sums(d), factors[d], d, sizes[d]).where("stays < mass * (1 - 1e-9)").agg(F.max(F.abs(F.col("stays") - F.col(f"goal_{d}")))).first()[0] or 0.0 for d in DIMENSIONS]
-    if max(off) > TOLERANCE * keep * total:
-        warnings.warn(f"after {sweeps} sweeps a marginal is off by {max(off) / (keep * total):.3f} of what stays", stacklevel=2)
-    return durable(weighted().select(*DIMENSIONS, "mass", chance.alias("probability")))
+    off = 0.0
+    for d in DIMENSIONS:
+        levels = state.groupBy(d).agg(F.sum(F.col("mass") * chance).alias("stays"), F.first(f"whole_{d}").alias("whole"), F.first(f"goal_{d}").alias("goal"))
+        off = max(off, levels.where("stays < whole * (1 - 1e-9)").agg(F.max(F.abs(F.col("stays") - F.col("goal")))).first()[0] or 0.0)
+    if off > TOLERANCE * keep * total:
+        warnings.warn(f"after {sweeps} sweeps a marginal is off by {off / (keep * total):.3f} of what stays", stacklevel=2)
+    return state.select(*DIMENSIONS, "mass", chance.alias("probability"))
 
 
 def sampled(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = TARGETS, topic: Column | None = None, keep: float = KEEP, sweeps: int = SWEEPS, seed: int = SEED) -> DataFrame:
@@ -148,7 +142,7 @@ def sampled(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]]
     cells = cells.where("probability > 0").select(*DIMENSIONS, "probability")
     key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))))
     draw = F.conv(F.substring(F.md5(key.cast("binary")), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
-    if cells.count() <= SMALL:
+    if cells.count() <= FEW:
         joined = counted.join(F.broadcast(cells), [*DIMENSIONS])
     else:
         cell = F.struct(*DIMENSIONS).alias("cell")

@@ -81,8 +81,7 @@ def test_tables_too_large_to_broadcast_give_the_same(spark, monkeypatch):
     frame = spark.createDataFrame(documents(), DOCS)
     key = lambda r: str(tuple(r))
     few = sorted(mixing.mix(frame, sweeps=3).collect(), key=key)
-    monkeypatch.setattr(mixing, "SMALL", 0)
-    monkeypatch.setattr(mixing, "PART", 2)
+    monkeypatch.setattr(mixing, "FEW", 8)
     many = sorted(mixing.mix(frame, sweeps=3).collect(), key=key)
     assert [tuple(r)[:-1] for r in many] == [tuple(r)[:-1] for r in few] and [r["probability"] for r in many] == pytest.approx([r["probability"] for r in few])
 
