@@ -84,6 +84,15 @@ def test_any_column_name_rides_along(spark):
     assert sorted(map(tuple, nearcopies.representatives(docs).collect()), key=str) == [(1, "a b", 2, 3, 4), (None, None, 8, 9, 10)]
 
 
+def test_long_texts_are_compared_whole(spark):
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(9999)}" for _ in range(60_000)]
+    near = words[:59_000] + [f"z{i}" for i in range(1000)]
+    far = words[:40_000] + [f"y{i}" for i in range(20_000)]
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 0) for i, t in enumerate((words, near, far))] + [(3, "x" * 3_000_000, "en", "s", 0)], DOCS)
+    assert {r["doc_id"] for r in nearcopies.representatives(docs).collect()} == {0, 2, 3}
+
+
 def test_the_bound_is_verified():
     pack = lambda *x: nearcopies.np.array(x, "<u8").tobytes()
     assert nearcopies.alike(pack(1, 2, 3, 4), pack(1, 2, 3, 4, 5), 0.8) and not nearcopies.alike(pack(1, 2, 3, 4), pack(1, 2, 3, 5), 0.8)

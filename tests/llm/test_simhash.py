@@ -39,6 +39,14 @@ def test_fingerprint_is_the_contract():
         assert simhash.fingerprint(text.encode()) % 2**64 == brute_fingerprint(text)
 
 
+def test_long_texts_are_hashed_whole():
+    rng = random.Random(5)
+    for n in (65_537, 65_538, 65_539, 150_000):
+        text = " ".join(f"w{rng.randrange(9999)}" for _ in range(n))
+        assert simhash.fingerprint(text.encode()) % 2**64 == brute_fingerprint(text)
+    assert simhash.fingerprint(b"x" * 3_000_000) % 2**64 == brute_fingerprint("x" * 3_000_000)
+
+
 def test_query_against_brute_force(spark):
     rng = random.Random(1)
     words = [f"w{i}" for i in range(50)]

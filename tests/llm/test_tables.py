@@ -190,5 +190,16 @@ def test_repeated_query_ids_as_in_the_sql(spark):
     assert got == sorted(con.execute(queries.ORACLE["op5_topk"]).fetchall()) and len(got) == 15
 
 
+def test_very_long_texts(spark):
+    """A text of two million characters, one of a million words in one line, and one that is a single word."""
+    texts = ["ab " * 700_000, "\u00e9 " * 1_000_000, "x" * 2_000_000, "short text"]
+    rows = [(i, t, "s", "en", len(t), "", "", "") for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, DOCS)
+    kept = mixing.mix(frame, {"source": 1.0, "lang": 1.0, "topic": 1.0}, keep=1.0, sweeps=2).collect()
+    assert {r["doc_id"]: r["tokens"] for r in kept} == {0: 700_000, 1: 1_000_000, 2: 1, 3: 2}
+    placed = sharding.bounded_ring(frame, 2).collect()
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in placed} == {i: (len(t.encode()) + 1, crc32(t.encode())) for i, t in enumerate(texts)}
+
+
 def test_queries_and_sql_have_names_in_common():
     assert set(queries.ORACLE) <= set(queries.QUERIES) and len(queries.QUERIES) == 10
