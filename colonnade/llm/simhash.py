@@ -91,6 +91,8 @@ def links(fps: DataFrame, bits: int = BITS, bucket: int = BUCKET) -> DataFrame:
     if bits not in (0, 1, 2):
         raise ValueError("bits must be 0, 1 or 2: beyond, hot variants would have no exact way but all pairs")
     segments = bits // 2 + 1
+    # A fingerprint becomes 64 rows, so few partitions of fingerprints would make large tasks.
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     # A variant is known by its hash: what falls together by chance is told apart by the distance.
     spread = fps.select("fp", F.inline(variants(F.col("fp"), segments))).select("fp", F.xxhash64("place", "rest").alias("variant"))
