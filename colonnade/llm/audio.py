@@ -6,9 +6,10 @@ integral image. Each filter's log ratio is quantised to two bits in Gray code, a
 per frame.
 
 Recordings of equal fingerprints are one class. A query recording meets every class, in blocks. An integer is cut into the ``PARTS``, and each part
-that a frame of either recording has in common votes for the offset between the two: a histogram of offsets. Whole integers would be too coarse, since at a fifth of
-bits in error hardly one in a thousand is the same, while one part in twelve is. At every offset with ``VOTES`` votes the share of differing bits over the
-overlap decides; of several, the one where most bits agree beyond chance is told. Every block of queries meets
+that a frame of either recording has in common votes for the offset between the two: a histogram of offsets. Whole integers would be too coarse, since at 15 % of
+bits in error one in two hundred is the same, while one half in fourteen is. At every offset with ``VOTES`` votes the share of differing bits over the
+overlap decides; of several, the one where most bits agree beyond chance is told. The bounds lie between copies - shifted by any part of a hop and with 20 dB of noise they
+differ in 7 to 15 % of the bits - and chance, which over 32 frames and more hardly gets below 18 %, so that the number of matches goes with that of copies. Every block of queries meets
 every block of classes through an equality join on lanes; a block looks parts up in an index, so no pair without a part in common costs anything.
 
 Defined results: null, empty or unreadable audio, and audio shorter than a fingerprint needs, has an empty fingerprint, matches nothing and is in the class
@@ -35,11 +36,11 @@ LOW, HIGH = 55.0, 1760.0
 SMOOTH = np.array([0.25, 0.75, 1.0, 0.75, 0.25]) / 3
 #: Bounds of the quantiser: log ratios below, between and above these.
 BOUNDS = (-0.25, 0.0, 0.25)
-#: A match has as many votes for one offset, at most this share of differing bits, and as many frames in common (fewer are alike by chance).
-VOTES, ERRORS, OVERLAP = 5, 0.2, 20
+#: A match has as many votes for one offset, at most this share of differing bits, and as many frames in common.
+VOTES, ERRORS, OVERLAP = 3, 0.15, 32
 #: The parts of an integer that vote: lowest bit and number of bits.
-PARTS = ((0, 11), (11, 11), (22, 10))
-_PART = 1 << 11
+PARTS = ((0, 16), (16, 16))
+_PART = 1 << 16
 
 
 def filters() -> list[tuple[int, int, int, int]]:
@@ -250,11 +251,11 @@ def _blocks(name: str, rows: int):
     return pack
 
 
-def match_recordings(prints: DataFrame, queries: DataFrame, block_rows: int = 2048, query_rows: int = 64) -> DataFrame:
-    """Members and matches of ``prints`` (rec_id, fp), for the rec_ids of ``queries`` (rec_id, fp).
+def match_recordings(prints: DataFrame, queries: DataFrame, block_rows: int = 2048, query_rows: int = 64, among: bool = True) -> DataFrame:
+    """Members and matches of ``prints`` (rec_id, fp), for ``queries`` (rec_id, fp), which are rows of prints (``among``) or other recordings.
 
     Rows of kind ``member``: rec_id and its class_id (the smallest rec_id with its fingerprint). Rows of kind ``match``: a query's
-    rec_id, class_id of a class that matches, others (its recordings but the query), offset (frames by which the class lies later), votes,
+    rec_id, class_id of a class that matches, others (its recordings, but for the query itself where it is among them), offset (frames by which the class lies later), votes,
     bit_errors (share) and overlap (frames).
     """
     spark = prints.sparkSession
@@ -264,12 +265,12 @@ def match_recordings(prints: DataFrame, queries: DataFrame, block_rows: int = 20
     classes = durable(prints.groupBy(key).agg(F.min("rec_id").alias("class_id"), F.count("*").alias("size"), F.first("fp").alias("fp")))
     members = skew_join(prints.select("rec_id", key), classes.select("key", "class_id"), "key").select("rec_id", "class_id")
 
-    asked = queries.where("rec_id IS NOT NULL").groupBy("rec_id").agg(F.min("fp").alias("fp")).select("rec_id", key)
-    asked = skew_join(asked, classes.select("key", "class_id", "size"), "key")
-    sought = classes.join(asked.select("key").distinct(), "key", "left_semi")
+    # Queries of one fingerprint are searched as one, under the smallest of their ids.
+    asked = durable(queries.where("rec_id IS NOT NULL").groupBy("rec_id").agg(F.min("fp").alias("fp")).select("rec_id", key, "fp"))
+    sought = asked.groupBy("key").agg(F.min("rec_id").alias("asked"), F.first("fp").alias("fp"))
     lane = F.pmod(F.xxhash64("d_ids"), F.lit(lanes)).cast("int").alias("lane")
     right = classes.where(F.octet_length("fp") > 0).select("class_id", "fp").mapInArrow(_blocks("d", block_rows), "d_ids array<long>, d_fps array<binary>").select("*", lane)
-    left = sought.where(F.octet_length("fp") > 0).select("class_id", "fp").mapInArrow(_blocks("q", query_rows), "q_ids array<long>, q_fps array<binary>").select("*", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"))
+    left = sought.where(F.octet_length("fp") > 0).select("asked", "fp").mapInArrow(_blocks("q", query_rows), "q_ids array<long>, q_fps array<binary>").select("*", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,18 +284,20 @@ def match_recordings(prints: DataFrame, queries: DataFrame, block_rows: int = 20
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["asked", "found", "offset", "votes", "bit_errors", "overlap"])
 
     met = right.join(left, "lane").select("d_ids", "d_fps", "q_ids", "q_fps").mapInArrow(search, "asked long, found long, offset int, votes int, bit_errors double, overlap int")
-    sizes = classes.select(F.col("class_id").alias("found"), F.col("size").alias("n"))
-    matches = skew_join(met, sizes, "found").withColumnRenamed("asked", "class_id")
+    sizes = classes.select(F.col("class_id").alias("found"), F.col("key").alias("found_key"), F.col("size").alias("n"))
+    matches = skew_join(skew_join(met, sizes, "found"), sought.select("asked", "key"), "asked")
     # Each class's matches are written out for the queries in it, which the query set bounds.
-    per_query = asked.select("rec_id", "class_id").join(matches, "class_id")
-    others = (F.col("n") - (F.col("class_id") == F.col("found")).cast("long")).alias("others")
+    per_query = asked.select("rec_id", "key").join(matches, "key")
+    own = (F.col("key") == F.col("found_key")).cast("long") if among else F.lit(0)
+    others = (F.col("n") - own).alias("others")
     told = per_query.select(F.lit("match").alias("kind"), "rec_id", F.col("found").alias("class_id"), others, "offset", "votes", "bit_errors", "overlap").where("others > 0")
     return members.select(F.lit("member").alias("kind"), "rec_id", "class_id").unionByName(told, allowMissingColumns=True)
 
 
-def sonify(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def sonify(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", delay: int = 0, noise: float = 0.0) -> DataFrame:
     """Recordings (rec_id, audio) made from vectors, as a source of audio for tables without any: a component is a note, and
-    ``id mod 5`` notes of silence lead in, so equal vectors sound alike at several offsets. Missing components are rests."""
+    ``id mod 5`` notes of silence lead in, so equal vectors sound alike at several offsets. Missing components are rests. ``delay`` samples of silence and noise of that share of the
+    recording's strength, the same each time for an id, make another recording of the same."""
     time = np.arange(HOP) / RATE
     notes = [np.round(9000 * (np.sin(2 * np.pi * 220 * 2 ** (k / 12) * time) + 0.4 * np.sin(4 * np.pi * 220 * 2 ** (k / 12) * time))).astype("<i2") for k in range(12)]
     notes.append(np.zeros(HOP, "<i2"))
@@ -308,7 +311,12 @@ def sonify(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
                 for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     x = np.array(v or [], np.float64)
                     pitch = np.where(np.isfinite(x), np.floor(np.nan_to_num(x, posinf=0, neginf=0) * 16) % 12, 12).astype(int)
-                    out.append(None if v is None else write_wav(table[np.concatenate([np.full((i or 0) % 5, 12), pitch])].reshape(-1)))
+                    sound = table[np.concatenate([np.full((i or 0) % 5, 12), pitch])].reshape(-1)
+                    if delay or noise:
+                        sound = np.concatenate([np.zeros(delay), sound])
+                        hiss = np.random.default_rng(abs(i or 0)).standard_normal(len(sound))
+                        sound = np.clip(np.round(sound + hiss * noise * np.sqrt(np.square(sound).mean() if len(sound) else 0)), -32768, 32767)
+                    out.append(None if v is None else write_wav(sound))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["rec_id", "audio"])
 
     return vectors.select(F.col(id_col).cast("long").alias("rec_id"), F.col(vector_col).cast("array<double>")).mapInArrow(render, "rec_id long, audio binary")

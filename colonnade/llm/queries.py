@@ -19,9 +19,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classes and matches of the recordings that sonify makes of embeddings; queries are the rows whose id is divisible by 50."""
-    prints = durable(audio.fingerprints(audio.sonify(table(spark, sf_dir, "embeddings"))))
-    return audio.match_recordings(prints, prints.where(F.col("rec_id") % 50 == 0))
+    """Classes of the recordings that sonify makes of embeddings, and the matches of other recordings - later by part of a hop, with 20 dB of noise - of the rows whose id is
+    divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    prints = durable(audio.fingerprints(audio.sonify(vectors)))
+    asked = audio.fingerprints(audio.sonify(vectors.where(F.col("vec_id") % 50 == 0), delay=200, noise=0.1))
+    return audio.match_recordings(prints, asked, among=False)
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,7 +81,7 @@ def test_recall_of_shifted_noisy_copies():
 def test_chance_likenesses_are_found_too():
     """Many short tunes of few notes, some of which are alike somewhere by chance."""
     rng = np.random.default_rng(5)
-    prints = [audio.fingerprint_wav(audio.write_wav(tune(np.repeat(rng.integers(0, 4, 13), 3)))) for _ in range(150)]
+    prints = [audio.fingerprint_wav(audio.write_wav(tune(np.repeat(rng.integers(0, 3, 16), 3)))) for _ in range(150)]
     index, within, found = audio.Index(prints), 0, 0
     for q in prints[:12]:
         got = {w: (o, s, n) for w, o, _, s, n in audio.alignments(q, index)}
@@ -110,5 +110,17 @@ def test_query_against_brute_force(spark):
                 expected.add((q, c, others, best[0], round(best[1], 9), best[2]))
     found = {(r["rec_id"], r["class_id"], r["others"], r["offset"], r["bit_errors"], r["overlap"]) for r in got if r["kind"] == "match"}
     assert found == expected and len(expected) >= 4 and all(r["votes"] >= audio.VOTES for r in got if r["kind"] == "match")
+    later = prints.where("rec_id IN (0, 50)").select((prints.rec_id + 1).alias("rec_id"), "fp")
+    other = audio.match_recordings(prints, later, among=False).where("kind = 'match'").collect()
+    assert {(r["rec_id"], r["class_id"], r["others"], r["offset"]) for r in other} == {(q + 1, c, sum(k == c for k in label.values()), x[0]) for q in (0, 50) for c in set(label.values()) if (x := all_offsets(values[q], values[c]))}
     empty = prints.limit(0)
     assert audio.match_recordings(empty, empty).count() == 0
+
+
+def test_other_recordings_are_found(spark):
+    """What the query asks: each row's noisy, delayed recording finds the class of the row, and nothing else; null and empty vectors find nothing, and silence finds silence."""
+    rng = np.random.default_rng(2)
+    vectors = [(i, [float(x) for x in rng.standard_normal(64)]) for i in range(0, 300, 10)] + [(5, None), (15, []), (25, [float("nan")] * 64)]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = audio.match_recordings(audio.fingerprints(audio.sonify(frame)), audio.fingerprints(audio.sonify(frame, delay=200, noise=0.1)), among=False).where("kind = 'match'").collect()
+    assert {(r["rec_id"], r["class_id"], r["others"]) for r in got} == {(i, i, 1) for i in [*range(0, 300, 10), 25]} and all(abs(r["offset"]) <= 1 and r["bit_errors"] < 0.15 for r in got)
