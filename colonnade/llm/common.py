@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import gc
 import re
 import tempfile
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +84,14 @@ def _remove(spark: SparkSession, path: str) -> None:
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def trim() -> None:
+    """Gives memory that a worker no longer uses back to the system: a worker serves stage after stage, and what one of them freed would stay with it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """left join right on ``key``, where left may hold very many rows of one key and right few.
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import packed_row, unpacked_row
+from .common import packed_row, trim, unpacked_row
 
 WINDOW, STRIDE = 32, 24
 #: Labelled rows of either class, and bytes of a text, for training.
@@ -374,6 +374,7 @@ def scored_rows(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...], model
         return docs.select(packed_row(keep), F.lit(0.0).alias("score"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         vocabulary = Spellings(model.known)
         for batch in batches:
             texts, rows = (batch.column(0).field("text"), batch.column(0)) if inside else (batch.column(1), batch.column(0))
