@@ -96,16 +96,17 @@ def links(fps: DataFrame, bits: int = BITS, bucket: int = BUCKET) -> DataFrame:
     distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     # A variant is known by its hash: what falls together by chance is told apart by the distance.
     spread = fps.select("fp", F.inline(variants(F.col("fp"), segments))).select("fp", F.xxhash64("place", "rest").alias("variant"))
-    met = durable(skew_join(spread, spread.groupBy("variant").agg(F.count("*").alias("n")).where("n > 1"), "variant"))
+    # Adaptive execution knows the size of the fingerprints, not that each becomes 64 rows here, and would send those to the driver as a small table.
+    met = durable(skew_join(spread.hint("merge"), spread.groupBy("variant").agg(F.count("*").alias("n")).where("n > 1"), "variant"))
     few = met.where(F.col("n") <= bucket).select("variant", "fp")
     pairs = few.withColumnRenamed("fp", "a").join(few.withColumnRenamed("fp", "b"), "variant").where((F.col("a") < F.col("b")) & (distance <= bits)).select("a", "b")
     many = met.where(F.col("n") > bucket).select("fp").distinct()
     flips = F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63))) for b in range(64)))
     near = many.select("fp", F.explode(flips).alias("near"))
     if bits == 2:
-        more = skew_join(near, near.groupBy("near").agg(F.min("fp").alias("a")), "near").where(F.col("a") < F.col("fp")).select("a", F.col("fp").alias("b"))
+        more = skew_join(near.hint("merge"), near.groupBy("near").agg(F.min("fp").alias("a")), "near").where(F.col("a") < F.col("fp")).select("a", F.col("fp").alias("b"))
     else:
-        more = near.join(many.select(F.col("fp").alias("b")), F.col("near") == F.col("b")).where(F.col("fp") < F.col("b")).select(F.col("fp").alias("a"), "b").where(distance <= bits)
+        more = near.hint("merge").join(many.select(F.col("fp").alias("b")), F.col("near") == F.col("b")).where(F.col("fp") < F.col("b")).select(F.col("fp").alias("a"), "b").where(distance <= bits)
     return pairs.unionByName(more).distinct()
 
 

@@ -92,3 +92,13 @@ def test_components(spark):
 
 def test_empty_table(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_no_variants_are_sent_to_the_driver(spark, sent_to_all):
+    rng = random.Random(6)
+    values = {rng.getrandbits(64) for _ in range(300)}
+    values |= {v ^ 1 << rng.randrange(64) for v in list(values)[:100]}
+    fps = spark.createDataFrame([(sign(v),) for v in values], "fp long")
+    for bucket in (1, 32):
+        assert simhash.links(fps, bucket=bucket).count() >= 100
+    assert sent_to_all() <= 32 * len(values)
