@@ -21,9 +21,8 @@ title vote once, and a page once for a text, so that copies of an article, or li
 A wrapper - the reference and what is learnt of its slots - is bounded by pages' sizes, not by their number. Pages meet their host's in an equality join that may be split for a
 host with very many pages; no task holds a host's pages.
 
-Matching takes time in proportion to runs of siblings times kinds. Where that is over ``WORK`` for a node, or the nodes compared for a page have had over ``SPENT``
-children, runs go to the next kind of their signature in order instead, and a reference node has ``KINDS`` kinds at most; so one strange page cannot hold up a task, and what
-finds no slot stays.
+A reference has a place for every kind of sibling, and every matching is the best one. Subtrees alike but for their texts are compared once. A node whose runs times kinds are over ``WORK`` is
+matched in order where a bound shows that nothing can match more, else by whole rows of the table at a time, of which only every so many are kept.
 
 Defined results: a null or empty html has empty text; a null or broken address belongs to the host ''; cut-off and misnested markup gives
 what can be read, however deep; repeated rows give repeated results; other columns are ignored,
@@ -36,10 +35,12 @@ import json
 import re
 import zlib
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
+from math import isqrt
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,8 +54,8 @@ OFTEN = 3
 RARE = 64
 #: Share of a host's varying text that the content slot holds, and share below which a steady slot beside it is frame.
 MOST, LITTLE = 0.6, 0.25
-#: Bounds of the matching: runs times kinds of a node, children of the nodes compared for a page, kinds of a reference node.
-WORK, SPENT, KINDS = 2048, 50_000, 128
+#: Runs times kinds of a node, beyond which the table of a matching is computed by rows.
+WORK = 2048
 #: Characters of a slot's path, beyond which a hash stands for it.
 LONGEST = 200
 #: What HTML itself declares to be no main text: elements and roles.
@@ -172,9 +173,9 @@ def runs(children: list) -> list[tuple[str, list]]:
 
 
 class Place:
-    """A node of a reference: its kinds of children, a place for each (none for texts), and the slots' names."""
+    """A node of a reference: its kinds of children, a place for each (none for texts), the slots' names, and a number that places alike in all below share."""
 
-    __slots__ = ("declared", "kinds", "name", "of", "places", "parent", "signature", "single", "slots")
+    __slots__ = ("declared", "kinds", "name", "of", "places", "parent", "shape", "signature", "single", "slots")
 
     def __init__(self, signature: str, declared: bool, name: str, parent: Place | None):
         self.signature, self.declared, self.name, self.parent = signature, declared, name, parent
@@ -183,6 +184,7 @@ class Place:
         self.slots: list[str] = []
         self.of: dict[str, list[int]] = {}
         self.single = True
+        self.shape = -1
 
     def add(self, signature: str, kind: int) -> Place | None:
         slot = f"{self.name}/{len(self.kinds)}"
@@ -201,35 +203,66 @@ class Place:
 def reference_of(tree: list) -> Place:
     """A page's tree as a reference: no texts, and of siblings alike in signature one place with the kinds of children that any of them has."""
     root = Place(tree[0], tree[1] == DECLARED, "", None)
-    rest = [([tree], root)]
+    rest, order = [([tree], root)], []
     while rest:
         nodes, place = rest.pop()
+        order.append(place)
         groups: list[tuple[str, list]] = []
+        where: dict[str, list[int]] = {}
         for node in nodes:
-            at = 0
+            at, new = 0, []
             for signature, members in runs(node[2]):
-                found = next((i for i in range(at, len(groups)) if groups[i][0] == signature), None)
-                if found is not None:
-                    groups[found][1].extend(members)
-                    at = found + 1
-                elif len(groups) < KINDS:
-                    groups.insert(at, (signature, list(members)))
-                    at += 1
+                its = where.get(signature, ())
+                if (k := bisect_left(its, at)) < len(its):
+                    groups[its[k]][1].extend(members)
+                    at = its[k] + 1
+                else:
+                    new.append((at, (signature, list(members))))
+            if new:
+                # Each goes before the group that the node had come to.
+                merged, last = [], 0
+                for at, group in new:
+                    merged += groups[last:at]
+                    merged.append(group)
+                    last = at
+                groups = merged + groups[last:]
+                where = {}
+                for k, (signature, _) in enumerate(groups):
+                    where.setdefault(signature, []).append(k)
         for signature, members in groups:
             below = place.add(signature, PLAIN if signature == TEXT else members[0][1])
             if below is not None:
                 rest.append((members, below))
+    numbers: dict[tuple, int] = {}
+    for place in reversed(order):
+        alike = tuple((k, -1 if x is None else x.shape) for k, x in zip(place.kinds, place.places, strict=True))
+        place.shape = numbers.setdefault(alike, len(numbers))
     return root
 
 
 class Known:
-    """Sizes of the matchings of a page's nodes with places, and the children that have been looked at for them."""
+    """Sizes of the matchings of a page's nodes with places, by the shapes of both; nodes of one shape have runs of the same signatures, and of the same shapes below."""
 
-    __slots__ = ("size", "spent")
+    __slots__ = ("numbers", "shapes", "size")
 
     def __init__(self):
+        self.shapes: dict[int, int] = {}
+        self.numbers: dict[tuple, int] = {}
         self.size: dict[tuple[int, int], int] = {}
-        self.spent = 0
+
+    def shape(self, node: list) -> int:
+        rest = [node]
+        while rest:
+            x = rest[-1]
+            if id(x) not in self.shapes:
+                first = [(signature, members[0]) for signature, members in runs(x[2])]
+                if unknown := [y for signature, y in first if signature != TEXT and id(y) not in self.shapes]:
+                    rest += unknown
+                    continue
+                alike = tuple((signature, -1 if signature == TEXT else self.shapes[id(y)]) for signature, y in first)
+                self.shapes[id(x)] = self.numbers.setdefault(alike, len(self.numbers))
+            rest.pop()
+        return self.shapes[id(node)]
 
 
 def in_order(a: list[tuple[str, list]], place: Place) -> list[tuple[int, int]]:
@@ -251,8 +284,11 @@ def plain_pairs(a: list[tuple[str, list]], place: Place) -> list[tuple[int, int]
     return pairs if all(x[1] < y[1] for x, y in zip(pairs, pairs[1:], strict=False)) else None
 
 
-def costly(a: list[tuple[str, list]], place: Place, known: Known) -> bool:
-    return known.spent > SPENT or len(a) * len(place.kinds) > WORK
+def row_after(above: np.ndarray, gain: np.ndarray) -> np.ndarray:
+    """The next row of the table of a matching; gain: what the run matches with each kind."""
+    row = np.zeros_like(above)
+    np.maximum.accumulate(np.maximum(above[1:], above[:-1] + gain), out=row[1:])
+    return row
 
 
 def paired(a: list[tuple[str, list]], place: Place, known: Known) -> tuple[int, list[tuple[int, int]]]:
@@ -260,13 +296,13 @@ def paired(a: list[tuple[str, list]], place: Place, known: Known) -> tuple[int,
 
     def size(i: int, j: int) -> int:
         below = place.places[j]
-        return 1 if below is None else known.size.get((id(a[i][1][0]), id(below)), 1)
+        return 1 if below is None else known.size[known.shape(a[i][1][0]), below.shape]
 
     pairs = plain_pairs(a, place)
-    if pairs is None and costly(a, place, known):
-        pairs = in_order(a, place)
     if pairs is not None:
         return sum(size(i, j) for i, j in pairs), pairs
+    if len(a) * len(place.kinds) > WORK:
+        return paired_by_rows(a, place, size, known)
     b = place.kinds
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, (signature, _) in enumerate(a):
@@ -288,28 +324,82 @@ def paired(a: list[tuple[str, list]], place: Place, known: Known) -> tuple[int,
     return best[-1][-1], pairs[::-1]
 
 
+def paired_by_rows(a: list[tuple[str, list]], place: Place, size: Callable[[int, int], int], known: Known) -> tuple[int, list[tuple[int, int]]]:
+    """The same for many runs and kinds."""
+    b = len(place.kinds)
+    a_of = [(i, (signature, -1 if signature == TEXT else known.shape(members[0]))) for i, (signature, members) in enumerate(a) if signature in place.of]
+    gains: dict[tuple[str, int], np.ndarray] = {}
+
+    def gain(k: int) -> np.ndarray:
+        i, alike = a_of[k]
+        if alike not in gains:
+            if len(gains) * b > 1 << 22:
+                gains.clear()
+            gains[alike] = np.zeros(b, np.int32)
+            gains[alike][place.of[alike[0]]] = [size(i, j) for j in place.of[alike[0]]]
+        return gains[alike]
+
+    # No matching has more than each run's best, nor than each kind's.
+    by_run, by_kind, tops = 0, np.zeros(b, np.int32), {}
+    for k, (_, alike) in enumerate(a_of):
+        if alike not in tops:
+            tops[alike] = int(gain(k).max())
+            np.maximum(by_kind, gain(k), out=by_kind)
+        by_run += tops[alike]
+    pairs = in_order(a, place)
+    total = sum(size(i, j) for i, j in pairs)
+    if total == min(by_run, int(by_kind.sum())):
+        return total, pairs
+    # Every so many rows are kept; those between are computed again on the way back.
+    step = isqrt(len(a_of)) + 1
+    row = np.zeros(b + 1, np.int32)
+    kept = [row]
+    for k in range(len(a_of)):
+        row = row_after(row, gain(k))
+        if (k + 1) % step == 0:
+            kept.append(row)
+    total, pairs, i, j = int(row[-1]), [], len(a_of), b
+    while i and j:
+        first = (i - 1) // step * step
+        rows = [kept[first // step]]
+        for k in range(first, i):
+            rows.append(row_after(rows[-1], gain(k)))
+        while i > first and j:
+            here, above, its = rows[i - first], rows[i - first - 1], gain(i - 1)
+            if its[j - 1] and here[j] == above[j - 1] + its[j - 1]:
+                i, j = i - 1, j - 1
+                pairs.append((a_of[i][0], j))
+            elif here[j] == above[j]:
+                i -= 1
+            else:
+                j -= 1
+    return total, pairs[::-1]
+
+
 def match(mine: list, place: Place, known: Known | None = None) -> tuple[int, list[tuple[int, int]]]:
     """Nodes that simple tree matching matches in a tree and a place of one signature, and which runs go with which kinds of children."""
     known = Known() if known is None else known
-    rest = [(mine, place, False)]
-    answer: tuple[int, list[tuple[int, int]]] = (0, [])
+    rest = [(mine, place)]
     while rest:
-        x, y, ready = rest.pop()
-        if (id(x), id(y)) in known.size and x is not mine:
+        x, y = rest[-1]
+        key = known.shape(x), y.shape
+        if key in known.size and len(rest) > 1:
+            rest.pop()
             continue
         a = runs(x[2])
-        if not ready:
-            known.spent += len(x[2])
-            pairs = plain_pairs(a, y)
-            if pairs is None:
-                pairs = in_order(a, y) if costly(a, y, known) else [(i, j) for i, (signature, _) in enumerate(a) for j in y.of.get(signature, ())]
-            below = [(a[i][1][0], y.places[j], False) for i, j in pairs if y.places[j] is not None]
-            if below:
-                rest.append((x, y, True))
-                rest += below
-                continue
+        pairs = plain_pairs(a, y)
+        if pairs is not None:
+            below = [(a[i][1][0], y.places[j]) for i, j in pairs if y.places[j] is not None]
+        else:
+            nodes = {(signature, known.shape(members[0])): members[0] for signature, members in a if signature != TEXT and signature in y.of}
+            places = {signature: {y.places[j].shape: y.places[j] for j in y.of[signature]} for signature, _ in nodes}
+            below = [(node, its) for (signature, _), node in nodes.items() for its in places[signature].values()]
+        if unknown := [(node, its) for node, its in below if (known.shape(node), its.shape) not in known.size]:
+            rest += unknown
+            continue
+        rest.pop()
         answer = paired(a, y, known)
-        known.size[id(x), id(y)] = 1 + answer[0]
+        known.size[key] = 1 + answer[0]
     return 1 + answer[0], answer[1]
 
 

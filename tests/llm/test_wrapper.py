@@ -95,6 +95,48 @@ def test_matching_equals_brute_force():
         assert 1 + sum(1 if place.places[j] is None else most_matched(a[i][1][0], place.places[j]) for i, j in pairs) == size
 
 
+def test_every_kind_of_sibling_has_its_slot():
+    node = tree("body", *(tree(f"div.c{k}", f"t{k}") for k in range(1000)))
+    reference = wrapper.reference_of(node)
+    assert [slot for slot, _ in wrapper.aligned(node, reference)] == [f"/{k}/0" for k in range(1000)]
+    # Kinds that only a later sibling has stand where it has them.
+    lists = tree("body", tree("ul", *(tree(f"li.c{k}", "x") for k in range(0, 400, 2))), tree("ul", *(tree(f"li.c{k}", "x") for k in range(0, 400, 3))), tree("ul", tree("li.c0", "y"), tree("li.c0.d", "y")))
+    kinds = wrapper.reference_of(lists).places[0].kinds
+    assert sorted(kinds) == sorted({f"li.c{k}" for k in range(0, 400) if k % 2 == 0 or k % 3 == 0} | {"li.c0.d"})
+    for part in lists[2]:
+        at = [kinds.index(x[0]) for x in part[2]]
+        assert at == sorted(at)
+
+
+def test_template_beyond_many_kinds_goes(spark):
+    rng = random.Random(11)
+    wide = "".join(f"<div class=k{k}>{{}}</div>" for k in range(200))
+    pages = ["<h1>" + words(rng, 3) + "</h1>" + wide.format(*(words(rng, 6) for _ in range(200))) + "<section>all rights of this line</section>" for _ in range(8)]
+    got = texts(spark, [(i, "http://a.b/", f"<title>{i}</title><body>{x}") for i, x in enumerate(pages)])
+    assert all("all rights" not in r["text"] and r["text"].count("\n\n") == 200 for r in got.values())
+
+
+def test_wide_nodes_are_matched_best(monkeypatch):
+    rng = random.Random(12)
+
+    def grown(depth, most):
+        return tree(rng.choice("abc"), *(grown(depth - 1, 4) if depth and rng.random() < 0.8 else "t" for _ in range(rng.randint(0, most))))
+
+    for n in range(200):
+        x, y = (tree("r", *(grown(2, 3) for _ in range(rng.randint(1, 30)))) for _ in range(2))
+        place = wrapper.reference_of(y)
+        monkeypatch.setattr(wrapper, "WORK", 10**9)
+        size = wrapper.match(x, place)[0]
+        if n < 50:
+            small, known = tree("r", *x[2][:6]), wrapper.reference_of(tree("r", *y[2][:6]))
+            assert wrapper.match(small, known)[0] == most_matched(small, known)
+        monkeypatch.setattr(wrapper, "WORK", 0)
+        got, pairs = wrapper.match(x, place)
+        a = wrapper.runs(x[2])
+        assert got == size and pairs == sorted(pairs) and all(i < k and j < m for (i, j), (k, m) in zip(pairs, pairs[1:], strict=False))
+        assert 1 + sum(1 if place.places[j] is None else wrapper.match(a[i][1][0], place.places[j])[0] for i, j in pairs) == size
+
+
 def test_strange_pages_take_no_time():
     rng = random.Random(1)
     mixed = "".join(rng.choice(["<p>x", "<ul><li>y</ul>", "<div>", "</div>", "<div class=a>", "<section>", "</section>"]) for _ in range(30000))
