@@ -149,7 +149,8 @@ def by_fingerprint(nodes: DataFrame) -> DataFrame:
 def met_in_bands(nodes: DataFrame) -> DataFrame:
     """key, node and hub of the bands of ``nodes`` (node, keys) that several share."""
     spread = nodes.select("node", F.explode("keys").alias("key"))
-    met = durable(skew_join(spread, spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"))
+    # Not as a broadcast: each node becomes ``BANDS`` rows, of which the size that Spark goes by knows nothing.
+    met = durable(skew_join(spread.hint("merge"), spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"))
     weight = met.groupBy("node").agg(F.sum("n").alias("weight"))
     hubs = skew_join(met, weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("x")).select("key", F.col("x.node").alias("hub"))
     return durable(skew_join(met.select("key", "node"), hubs, "key"))
@@ -179,7 +180,7 @@ def candidates(far: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
     key = F.xxhash64("hub", "token").alias("key")
     shared = tokens.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
     # Shingles of one set come first in the order and meet nothing: only the others are put in order; left: how many come from there on, itself included.
-    few = skew_join(tokens.select("hub", "node", key), shared, "key").groupBy("hub", "node").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("order"))
+    few = skew_join(tokens.select("hub", "node", key).hint("merge"), shared, "key").groupBy("hub", "node").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("order"))
     placed = few.join(rows.drop("d"), ["hub", "node"]).select("hub", "node", "root", "g", "near", "any", F.posexplode("order").alias("at", "x"), F.size("order").alias("of"))
     placed = durable(placed.select("hub", "node", "root", "g", F.col("x.key").alias("key"), (F.col("of") - F.col("at")).alias("left"), "near", "any").where("left >= near OR left >= any"))
     short = placed.where("left >= near").select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("g").alias("g_b"), F.col("left").alias("left_b"))

@@ -97,3 +97,10 @@ def test_the_bound_is_verified():
     pack = lambda *x: nearcopies.np.array(x, "<u8").tobytes()
     assert nearcopies.alike(pack(1, 2, 3, 4), pack(1, 2, 3, 4, 5), 0.8) and not nearcopies.alike(pack(1, 2, 3, 4), pack(1, 2, 3, 5), 0.8)
     assert nearcopies.bands(nearcopies.shingles(b"")) == []
+
+
+def test_no_bands_are_sent_to_the_driver(spark, sent_to_all):
+    nodes = spark.createDataFrame([(n, [32 * max(n, 1) + k for k in range(32)]) for n in range(300)], "node long, keys array<long>").repartition(4, "node")
+    met = nearcopies.met_in_bands(nodes)
+    assert met.count() == 64 and {r["node"] for r in met.collect()} == {0, 1}
+    assert sent_to_all() < 300 * 32
