@@ -9,7 +9,10 @@ context is the run's strings put together. Then, all in tables:
 2. What is left - an anchor with several contexts - is sorted. One context of each kind is fetched and dealt by its anchor; a task takes blocks of
    anchors; it leaves out starts whose strings' hashes no other start in the block has, counts equal pieces once, and builds the suffix array
    of the pieces (``suffix.py``): strings repeat where neighbours in it agree on ``length`` bytes.
-3. An anchor with over ``CROWD`` contexts is not gathered in a task. Its contexts are cut into tiles of a few starts, which are counted by 128
+3. An anchor with over ``CROWD`` contexts is not gathered in a task. Its contexts are cut into about ``PARTS`` parts, each of which has a longer anchor: the core that
+   its strings have in common, and its place. Parts go through steps 1 and 2 like contexts: cores seen once prove their strings unique, equal parts are settled by equality,
+   and cores with up to ``CROWD`` kinds of parts are sorted.
+4. Parts of a core with more kinds than that are cut into tiles of a few starts, which are counted by 128
    bits of hash in an aggregate with partial sums; of tiles that occur once and share their core with others, strings are counted one by one against one tile of each kind. So a
    passage in a third of all texts is spread like any other.
 
@@ -36,8 +39,8 @@ from .suffix import repeated_starts
 LENGTH, GRAM = 200, 48
 #: Contexts of an anchor that may meet in one task.
 CROWD = 64
-#: Starts of a tile, the unit in which contexts of larger anchors are counted first.
-TILE = 8
+#: Starts of a tile, and parts of a whole run: contexts of larger anchors are cut into parts, and parts of larger cores into tiles.
+TILE, PARTS = 8, 4
 #: Bytes of contexts that are sorted together, at about.
 BLOCK = 200_000
 #: Starts that are hashed together; a longer text is read in segments.
@@ -130,6 +133,19 @@ def runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Iterator
         yield {"text": table[:, 0], "lo": table[:, 1] + first - table[:, 2], "n": count, "h": grams[anchor[first]].view(np.int64), "c": context.view(np.int64)}
 
 
+def cells(data: np.ndarray, sums: np.ndarray, size: int, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """A context's starts cut into cells of ``size``, counted from its anchor: their first starts and numbers of starts, where the cell begins (which may be before its first start), the
+    hash of the cell's core - what all its strings have in common - and the anchor's place. Equal strings lie at equal places in cells of equal cores. ``sums``: of the first hasher."""
+    one = hashers()[0]
+    count = len(data) - length + 1
+    anchor = int(np.argmin(one.each(sums[: length + 1], gram) & ~np.uint64((1 << 21) - 1)))
+    cuts = np.unique(np.concatenate([[0, count], np.arange(anchor % size, count, size)]))
+    first, n = cuts[:-1], np.diff(cuts)
+    cell = first - (first - anchor) % size
+    core = one.between(sums, np.minimum(cell + size - 1, cell + length), cell + length)
+    return first, n, cell, core, anchor
+
+
 def sort_block(contexts: list[tuple[int, int, bytes]], length: int) -> list[np.ndarray]:
     """For each (anchor, copies, context), whether its starts repeat among them; contexts of one anchor differ from each other."""
     one = hashers()[0]
@@ -207,7 +223,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     many = kinds.groupBy("h").agg(F.count("*").alias("d")).where("d > 1")
     wanted = skew_join(kinds, many, "h").select("h", "m", "d", "at.*")
     cut = F.expr(f"substring(body, cast(lo as int) + 1, n + {length - 1})").alias("context")
-    fetched = wanted.join(texts, ["id", "t"]).select("h", "m", "d", "id", "t", "lo", "n", cut).dropDuplicates(["id", "t", "lo"])
+    fetched = stored(wanted.join(texts, ["id", "t"]).select("h", "m", "d", "id", "t", "lo", cut).dropDuplicates(["id", "t", "lo"]))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by anchor; a block ends where an anchor does."""
@@ -229,29 +245,51 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
         columns = list(zip(*out, strict=True)) or [[], [], [], []]
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["id", "t", "a", "b"])
 
-    dealt = fetched.where(F.col("d") <= crowd).select("h", "m", "id", "t", "lo", "context").repartition("h").sortWithinPartitions("h", "id", "t", "lo")
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Contexts cut into parts of a few tiles; h: hash of a part's core, its place and its anchor; c: hash of its strings put together."""
+        one, two = hashers()
+        size = max(1, -(-(length - gram) // (PARTS * TILE))) * TILE
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                found, context = [], []
+                for h, body in zip(batch.column(0).to_numpy().view(np.uint64), batch.column(5).to_pylist(), strict=True):
+                    data = np.frombuffer(body, np.uint8)
+                    first, n, cell, core, anchor = cells(data, one.sums(data), size, length, gram)
+                    place = stir(h ^ (cell - anchor).astype(np.uint64))
+                    joint = two.between(two.sums(data), first, first + n + (length - 1)) + n.astype(np.uint64)
+                    found.append((stir(core ^ place), joint, first, n))
+                    context += [body[a : a + k + length - 1] for a, k in zip(first.tolist(), n.tolist(), strict=True)]
+                key, joint, first, n = (np.concatenate(x) for x in zip(*found, strict=True))
+                index = np.repeat(np.arange(len(found)), [len(x[0]) for x in found])
+                copies, ids, hashes, lo = (batch.column(i).to_numpy()[index] for i in (1, 2, 3, 4))
+                columns = [key.view(np.int64), joint.view(np.int64), copies, ids, hashes, lo + first, n.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(context, pa.binary())], names=["h", "c", "m", "id", "t", "lo", "n", "context"])
+
+    crowded = fetched.where(F.col("d") > crowd).select("h", "m", "id", "t", "lo", "context")
+    part = stored(crowded.mapInArrow(parts, "h long, c long, m long, id long, t long, lo long, n int, context binary"))
+    part_kinds = part.groupBy("h", "c").agg(F.sum("m").alias("m"), F.min(F.struct("id", "t", "lo", "n")).alias("at"), F.first("context").alias("context"))
+    equal = part.groupBy("h", "c").agg(F.sum("m").alias("m")).where("m > 1").select("c", F.col("h").alias("h2"))
+    by_part = skew_join(part.where("m = 1").select("h", "c", "id", "t", "lo", "n"), equal, "c").where("h = h2").select("id", "t", F.col("lo").alias("a"), (F.col("lo") + F.col("n") + (length - 1)).alias("b"))
+    cores = part.select("h", "c").distinct().groupBy("h").agg(F.count("*").alias("d")).where("d > 1")
+    open_parts = stored(skew_join(part_kinds, cores, "h").select("h", "m", "d", "at.id", "at.t", "at.lo", "context"))
+
+    dealt = fetched.unionByName(open_parts).where(F.col("d") <= crowd).select("h", "m", "id", "t", "lo", "context").repartition("h").sortWithinPartitions("h", "id", "t", "lo")
     by_sort = dealt.mapInArrow(settle, "id long, t long, a long, b long")
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Contexts cut into tiles of TILE starts, counted from the anchor; a tile's hash is that of its strings put together."""
-        one = hashers()[0]
-        low = ~np.uint64((1 << 21) - 1)
+        """Parts cut into tiles of TILE starts; a tile's hash is that of its strings put together."""
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                parts = []
+                found = []
                 for data in (np.frombuffer(x, np.uint8) for x in batch.column(4).to_pylist()):
-                    count = len(data) - length + 1
-                    anchor = int(np.argmin(one.each(one.sums(data[:length]), gram) & low))
-                    cuts = np.unique(np.concatenate([[0, count], np.arange(anchor % TILE, count, TILE)]))
-                    first, size = cuts[:-1], np.diff(cuts)
                     sums = [u.sums(data) for u in hashers()]
+                    first, size, _, core, _ = cells(data, sums[0], TILE, length, gram)
                     joint = [u.between(x, first, first + size + (length - 1)) + size.astype(np.uint64) for u, x in zip(hashers(), sums, strict=True)]
-                    cell = first - (first - anchor) % TILE
-                    core = hashers()[0].between(sums[0], np.minimum(cell + TILE - 1, cell + length), cell + length)
-                    parts.append((first, size, *joint, core, *(u.each(x, length) for u, x in zip(hashers(), sums, strict=True))))
-                first, size, w1, w2, core, v1, v2 = (np.concatenate(x) for x in zip(*parts, strict=True))
-                index = np.repeat(np.arange(len(parts)), [len(x[0]) for x in parts])
+                    found.append((first, size, *joint, core, *(u.each(x, length) for u, x in zip(hashers(), sums, strict=True))))
+                first, size, w1, w2, core, v1, v2 = (np.concatenate(x) for x in zip(*found, strict=True))
+                index = np.repeat(np.arange(len(found)), [len(x[0]) for x in found])
                 ids, hashes, copies, lo = (batch.column(i).to_numpy()[index] for i in (1, 2, 0, 3))
                 ends = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(ends, pa.array(v.view(np.int64))) for v in (v1, v2)]
@@ -260,17 +298,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
 
     # Tiles that occur more than once are covered. Of the others each string is counted, against one tile of every kind; as all strings of a tile
     # contain its core - what they have in common - only kinds whose core another kind has can have strings in common with it.
-    tiled = fetched.where(F.col("d") > crowd).select("m", "id", "t", "lo", "context").mapInArrow(tiles, "w1 long, w2 long, core long, m long, id long, t long, a long, n long, v1 array<long>, v2 array<long>")
+    tiled = open_parts.where(F.col("d") > crowd).select("m", "id", "t", "lo", "context").mapInArrow(tiles, "w1 long, w2 long, core long, m long, id long, t long, a long, n long, v1 array<long>, v2 array<long>")
     kind = tiled.groupBy("w1", "w2").agg(F.sum("m").alias("k"), F.min(F.struct("id", "t", "a")).alias("at"), F.first("core").alias("core"), F.first("v1").alias("v1"), F.first("v2").alias("v2"))
     common = skew_join(tiled.where("m = 1").select("w1", "w2", "id", "t", "a", "n"), kind.where("k > 1").select("w1", F.col("w2").alias("w3")), "w1").where("w2 = w3")
     by_tile = common.select("id", "t", "a", (F.col("a") + F.col("n") + (length - 1)).alias("b"))
-    cores = kind.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1").select("core")
-    single = skew_join(kind, cores, "core").select(F.least("k", F.lit(2)).alias("k"), "at", F.posexplode(F.arrays_zip("v1", "v2")).alias("i", "v")).select("k", "at.id", "at.t", (F.col("at.a") + F.col("i")).alias("a"), "v.v1", "v.v2")
+    tile_cores = kind.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1").select("core")
+    single = skew_join(kind, tile_cores, "core").select(F.least("k", F.lit(2)).alias("k"), "at", F.posexplode(F.arrays_zip("v1", "v2")).alias("i", "v")).select("k", "at.id", "at.t", (F.col("at.a") + F.col("i")).alias("a"), "v.v1", "v.v2")
     again = single.groupBy("v1", "v2").agg(F.sum("k").alias("k")).where("k > 1").select("v1", F.col("v2").alias("v3"))
     by_string = skew_join(single.where("k = 1"), again, "v1").where("v2 = v3").select("id", "t", "a", (F.col("a") + length).alias("b"))
     by_count = by_tile.unionByName(by_string)
 
-    sorted_spans = stored(by_sort.unionByName(by_count))
+    sorted_spans = stored(by_sort.unionByName(by_part).unionByName(by_count))
     everything = covered.unionByName(sorted_spans)
     return everything.groupBy("id", "t").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 

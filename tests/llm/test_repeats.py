@@ -71,6 +71,33 @@ def test_query_against_brute_force(spark, length, gram, crowd):
     assert got == sorted(((r[0], *b) for r, b in zip(rows, brute(texts, length), strict=True)), key=str)
 
 
+def test_crowds_are_cut_by_longer_anchors(spark, monkeypatch):
+    """A short line in texts that share nothing else fills an anchor's crowd, but repeats nothing; a long one repeats up to its edges. Cores leave few tiles of either."""
+    rng = random.Random(3)
+    some = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    short, long = some(30), some(110)
+    texts = [f"{some(100)}{rng.choice([short, long])}{some(100)}" for _ in range(300)]
+    made: Counter = Counter()
+    frame = type(spark.range(0))
+    plain = frame.mapInArrow
+
+    def counted(self, f, schema, *a, **b):
+        total = spark.sparkContext.accumulator(0)
+        made[f.__name__] = total
+
+        def g(batches):
+            for x in f(batches):
+                total.add(x.num_rows)
+                yield x
+
+        return plain(self, g, schema, *a, **b)
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    got = sorted(map(tuple, repeats.digests(spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], DOCS).repartition(5), 80, 16, 8).collect()))
+    assert got == sorted((i, *b) for i, b in enumerate(brute(texts, 80)))
+    assert 0 < made["tiles"].value < 12 * len(texts)
+
+
 def test_long_texts_are_read_in_segments(monkeypatch):
     monkeypatch.setattr(repeats, "SEGMENT", 500)
     text = " ".join(str(i * i) for i in range(800)).encode()
